@@ -170,3 +170,10 @@ def trailing_disorder(
         "cut",
         F.when((F.col("run_rows") > 0) & (F.col("unstamped") == 0) & small, F.col("run_start")),
     )
+
+
+def split_tail(df: DataFrame, order_by: str, tail: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(kept, quarantined)`` rows given the one-row result of ``trailing_disorder``."""
+    cut = tail.select("cut").scalar()
+    late = F.coalesce(F.col(order_by) >= cut, F.lit(False))
+    return df.filter(~late), df.filter(late)
