@@ -176,9 +176,9 @@ def fabrication_check(spark, sf_dir):
         "event_id", (F.lit(1_773_000_000_000_000) + F.col("event_id") * 10_000_000).alias("stamp_us")
     )
     out = [
-        sequence.fabrication_check(sequence.timestamp_gaps(df, "event_id", "stamp_us")).withColumn(
-            "series", F.lit(name)
-        )
+        sequence.fabrication_check(
+            sequence.timestamp_gaps(df, "event_id", "stamp_us"), "event_id"
+        ).withColumn("series", F.lit(name))
         for name, df in (("observed", real), ("generated", made))
     ]
     return out[0].unionByName(out[1])
@@ -202,7 +202,7 @@ def trailing_disorder(spark, sf_dir):
 def quarantined_tail(spark, sf_dir):
     events = events_with_late_tail(spark, sf_dir)
     tail = sequence.trailing_disorder(events, "event_id", "stamp_us")
-    _, late = sequence.split_tail(events, "event_id", tail)
+    _, late = sequence.split_tail(events, "event_id", tail.first().cut)
     return late
 
 

@@ -32,10 +32,10 @@ def column_profile(counts: DataFrame, samples: int = SAMPLE_VALUES) -> DataFrame
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.sum("n").alias("_rows"),
     )
-    first = Window.partitionBy("column").orderBy("value")
+    # Nulls rank last and are skipped by the list, so both branches read the same counts.
+    first = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_last())
     sample = (
-        counts.filter(F.col("value").isNotNull())
-        .select("column", "value", F.row_number().over(first).alias("_rank"))
+        counts.select("column", "value", F.row_number().over(first).alias("_rank"))
         .filter(F.col("_rank") <= samples)
         .groupBy("column")
         .agg(F.sort_array(F.collect_list("value")).alias("sample"))

@@ -109,22 +109,19 @@ def backward_jumps(gaps: DataFrame, order_by: str, tolerance_s: float = BACKWARD
     )
 
 
-def ordering_breaks(gaps: DataFrame, order_by: str, tolerance_s: float = BACKWARD_TOLERANCE_S) -> DataFrame:
-    """One row: ``n_breaks, first_break, first_backward_us`` (nulls when time never runs back)."""
-    return backward_jumps(gaps, order_by, tolerance_s).agg(
-        F.count("*").alias("n_breaks"),
-        F.min(order_by).alias("first_break"),
-        F.min_by("backward_us", order_by).alias("first_backward_us"),
-    )
-
+def time_figures(gaps: DataFrame, order_by: str, tolerance_s: float = BACKWARD_TOLERANCE_S) -> DataFrame:
+    """One row with everything the two time gates ask of the gaps, from a single pass:
 
-def fabrication_check(gaps: DataFrame) -> DataFrame:
-    """One row: gap figures and ``fabricated``, true when the spacing is too even to be observed.
-
-    Fewer than two gaps never count as fabricated.
+    ``n_breaks, first_break, first_backward_us`` (nulls when time never runs back), ``n_gaps, min_gap_us,
+    max_gap_us`` and ``fabricated``, true when the spacing is too even to be observed. Fewer than two gaps
+    never count as fabricated.
     """
     gap = F.col("gap_us")
+    late_at = F.when(_backward(gaps, tolerance_s), F.col(order_by))
     figures = gaps.agg(
+        F.count(late_at).alias("n_breaks"),
+        F.min(late_at).alias("first_break"),
+        F.min(F.when(late_at.isNotNull(), F.struct(late_at, -gap)))["col2"].alias("first_backward_us"),
         F.count("*").alias("n_gaps"),
         F.min(gap).alias("min_gap_us"),
         F.max(gap).alias("max_gap_us"),
@@ -133,12 +130,19 @@ def fabrication_check(gaps: DataFrame) -> DataFrame:
     )
     even = F.col("min_gap_us") == F.col("max_gap_us")
     tight = (F.col("_mean") > 0) & (F.col("_spread") / F.nullif(F.col("_mean"), F.lit(0.0)) < 1e-9)
-    return figures.select(
-        "n_gaps",
-        "min_gap_us",
-        "max_gap_us",
-        ((F.col("n_gaps") >= 2) & F.coalesce(even | tight, F.lit(False))).alias("fabricated"),
-    )
+    return figures.withColumn(
+        "fabricated", (F.col("n_gaps") >= 2) & F.coalesce(even | tight, F.lit(False))
+    ).drop("_mean", "_spread")
+
+
+def ordering_breaks(gaps: DataFrame, order_by: str, tolerance_s: float = BACKWARD_TOLERANCE_S) -> DataFrame:
+    """The ordering part of ``time_figures``."""
+    return time_figures(gaps, order_by, tolerance_s).select("n_breaks", "first_break", "first_backward_us")
+
+
+def fabrication_check(gaps: DataFrame, order_by: str) -> DataFrame:
+    """The spacing part of ``time_figures``."""
+    return time_figures(gaps, order_by).select("n_gaps", "min_gap_us", "max_gap_us", "fabricated")
 
 
 def trailing_disorder(
@@ -155,10 +159,11 @@ def trailing_disorder(
 
     ``cut`` is null unless the run reaches the end of the capture with every row stamped, has at most
     ``max_rows`` rows and at most ``max_ratio`` of them all. A longer run is left for the ordering gate.
+    The last jump is looked up by a job of its own; the row itself is lazy.
     """
     gaps = timestamp_gaps(df, order_by, micros, **how)
-    start = gaps.filter(_backward(gaps, tolerance_s)).agg(F.max(order_by)).scalar()
-    tail = F.col(order_by) >= start
+    start = gaps.filter(_backward(gaps, tolerance_s)).agg(F.max(order_by)).first()[0]
+    tail = F.col(order_by) >= F.lit(start).cast(df.schema[order_by].dataType)
     figures = df.agg(
         F.count("*").alias("total_rows"),
         F.count_if(tail).alias("run_rows"),
@@ -172,8 +177,8 @@ def trailing_disorder(
     )
 
 
-def split_tail(df: DataFrame, order_by: str, tail: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(kept, quarantined)`` rows given the one-row result of ``trailing_disorder``."""
-    cut = tail.select("cut").scalar()
-    late = F.coalesce(F.col(order_by) >= cut, F.lit(False))
-    return df.filter(~late), df.filter(late)
+def split_tail(df: DataFrame, order_by: str, cut: int | None) -> tuple[DataFrame, DataFrame]:
+    """``(kept, quarantined)`` rows for the ``cut`` that ``trailing_disorder`` found."""
+    if cut is None:
+        return df, df.filter(F.lit(False))
+    return df.filter(F.col(order_by) < cut), df.filter(F.col(order_by) >= cut)
