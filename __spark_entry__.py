@@ -20,6 +20,7 @@ from plumbline.operators.episodes import (  # noqa: E402
     episode_count,
     split_counts,
     split_episodes,
+    split_rows,
 )
 from plumbline.operators.labels import label_actions  # noqa: E402
 from plumbline.operators.outcomes import (  # noqa: E402
@@ -31,11 +32,14 @@ from plumbline.operators.outcomes import (  # noqa: E402
 from plumbline.operators.ranges import feature_ranges  # noqa: E402
 from plumbline.operators.scaling import derived_tick_columns, minmax_scaled  # noqa: E402
 from plumbline.plans import contracts as C  # noqa: E402
+from plumbline.plans.cleaners import ROW  # noqa: E402
 from plumbline.plans.conversion import write_verified  # noqa: E402
 from plumbline.plans.gates import GateConfig, gate_table  # noqa: E402
+from plumbline.plans.publishing import SOURCES, run_all  # noqa: E402
+from plumbline.plans.trajectories import build_trajectories  # noqa: E402
 from plumbline.sources.closed_records import classify, error_examples  # noqa: E402
 from plumbline.sources.jsonl import count_lines, read_jsonl  # noqa: E402
-from plumbline.sources.sinks import jsonl_text, write_jsonl  # noqa: E402
+from plumbline.sources.sinks import in_source_order, jsonl_text, write_jsonl  # noqa: E402
 from plumbline.sources.workspace import Workspace  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -586,7 +590,10 @@ def columns_equal(spark, sf_dir):
 
 
 def feature_extremes(spark, sf_dir):
-    train = event_splits(spark, sf_dir).filter(F.col("split") == "train").withColumn(
+    rows = split_rows(
+        table(spark, sf_dir, "events"), layout_of(spark, sf_dir), "train", "event_id", EPISODE_STEPS
+    )
+    train = add_episodes(rows, "event_id", EPISODE_STEPS).withColumn(
         "empty_feature", F.lit(None).cast("bigint")
     )
     return feature_ranges(train, ["value", "user_id", "step_idx", "empty_feature"])
@@ -604,6 +611,140 @@ def flat_signals(spark, sf_dir):
     )
 
 
+# --- Whole jobs over sources derived from the events -----------------------------------------------------
+
+
+def gpu_lines(events: DataFrame) -> DataFrame:
+    e = F.col("event_id")
+    signal = {
+        "vddcr_gfx_v": F.lit(0.7) + (e % 5) * 0.01,
+        "vram_temp_c": (e % 11).cast("double"),
+        "gpu_temp_c": F.col("value"),
+        "power_w": F.col("user_id").cast("double"),
+        "gpu_clock_mhz": (e % 7).cast("double"),
+        "mem_clock_mhz": (e % 3).cast("double"),
+        "clock_mhz": (e % 7).cast("double"),
+        "fan_speed_pct": (e % 100).cast("double"),
+        "mem_util_pct": (e % 50).cast("double"),
+        "qubic_tick_trace": (e % 10).cast("double"),
+        "qubic_tick_rate": (e % 4).cast("double"),
+        "qubic_epoch_progress": (e % 13).cast("double"),
+        "hashrate_mh": F.lit(0.0),
+        "rejected_shares": F.lit(0),
+    }
+    telemetry = F.struct(*[c.alias(n) for n, c in signal.items()])
+    return events.select("event_id", F.to_json(F.struct(telemetry.alias("telemetry"))).alias("value"))
+
+
+def mining_lines(events: DataFrame) -> DataFrame:
+    e, eid = F.col("event_id"), F.col("event_id").cast("string")
+    stamp = (
+        F.when(e % 50 == 6, F.lit("12:30:00"))
+        .when(e % 7 == 3, F.concat(F.lit("dynex:9"), eid))
+        .when(e % 7 == 4, F.concat(F.lit("Qubic:204:46"), eid))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"))
+    )
+    telemetry = F.struct(
+        F.col("value").alias("hashrate_mh"),
+        F.col("user_id").cast("double").alias("power_w"),
+        F.lit(0.0).alias("clock_mhz"),
+    )
+    record = F.struct(stamp.alias("timestamp"), telemetry.alias("telemetry"))
+    return events.select("event_id", F.to_json(record).alias("value"))
+
+
+def tick_lines(events: DataFrame) -> DataFrame:
+    e = F.col("event_id")
+    record = F.struct(
+        (F.lit(1_700_000_000) + e * 3 + e % 2).alias("ts"),
+        (e * 5 + 100).alias("tick"),
+        F.lit(205).alias("epoch"),
+        F.col("value").alias("tick_rate"),
+        F.lit(1.0).alias("epoch_progress"),
+    )
+    return events.select("event_id", F.to_json(record).alias("value"))
+
+
+def market_lines(events: DataFrame) -> DataFrame:
+    e = F.col("event_id")
+    numbers = [
+        (F.col("value") + k).alias(n) for k, n in enumerate(C.MARKET_NUMBERS.split())
+    ]
+    record = F.struct(
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("521+00:00")).alias("timestamp"),
+        e.alias("step"),
+        F.element_at(F.array(F.lit("buy"), F.lit("sell"), F.lit("observe")), (e % 3 + 1).cast("int")).alias(
+            "action"
+        ),
+        F.col("event_type").alias("asset"),
+        *numbers,
+        F.when(e % 2 == 0, "NVDA").otherwise("AMD").alias("ch2_mode"),
+        F.concat(F.lit("r"), F.col("user_id").cast("string")).alias("reason"),
+    )
+    return events.select("event_id", F.to_json(record).alias("value"))
+
+
+RAW_LINES = {
+    "neuromorphic_data": gpu_lines,
+    "node_sync_harvest": mining_lines,
+    "qubic_ticks_snn": tick_lines,
+    "ghost_market_log": market_lines,
+}
+SPEC = {s.key: s for s in SOURCES}
+
+
+def raw_source(spark: SparkSession, sf_dir: str, key: str, root: str) -> str:
+    """Write one raw source, its lines in event order."""
+    events = table(spark, sf_dir, "events")
+    lines = in_source_order(RAW_LINES[key](events), "event_id", events.count())
+    path = f"{root}/{SPEC[key].filename}"
+    lines.select("value").write.mode("overwrite").text(path)
+    return path
+
+
+def cleaned(key: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workspace = Workspace(spark)
+        path = raw_source(spark, sf_dir, key, workspace.path("raw"))
+        return SPEC[key].cleaner(spark, path, workspace).published()
+
+    return query
+
+
+def publish_outcomes(spark, sf_dir):
+    """All four sources through cleaning, gates, reports, outputs and samples."""
+    with Workspace(spark) as workspace:
+        root = workspace.path("publish")
+        for key in RAW_LINES:
+            raw_source(spark, sf_dir, key, f"{root}/in")
+        rows = [
+            (o.key, o.ok, o.validation.n_in, o.validation.n_out, len(o.sample_paths))
+            for o in run_all(spark, f"{root}/in", f"{root}/out", f"{root}/reports")
+        ]
+    return spark.createDataFrame(
+        rows, "source string, ok boolean, n_in bigint, n_out bigint, n_samples bigint"
+    )
+
+
+def trajectory_build(spark, sf_dir):
+    """Published sources to the whole trajectory tree; row counts per table and split."""
+    with Workspace(spark) as workspace:
+        root = workspace.path("tree")
+        for key in RAW_LINES:
+            path = raw_source(spark, sf_dir, key, f"{root}/in")
+            result = SPEC[key].cleaner(spark, path, workspace)
+            write_jsonl(
+                result.rows,
+                f"{root}/{SPEC[key].output}",
+                order_by=ROW,
+                n_rows=result.n_in,
+                columns=result.columns,
+            )
+        report = build_trajectories(spark, root, episode_len=EPISODE_STEPS, horizon=HORIZON)
+    rows = [(c, s, n) for c, splits in report.configs.items() for s, n in splits.items()]
+    return spark.createDataFrame(rows, "config string, split string, n bigint")
+
+
 QUERIES: dict[str, Query] = {
     "column_health": column_health,
     "dead_column_drift": dead_column_drift,
@@ -656,6 +797,12 @@ QUERIES: dict[str, Query] = {
     "columns_equal": columns_equal,
     "feature_extremes": feature_extremes,
     "flat_signals": flat_signals,
+    "clean_gpu": cleaned("neuromorphic_data"),
+    "clean_mining": cleaned("node_sync_harvest"),
+    "clean_ticks": cleaned("qubic_ticks_snn"),
+    "clean_market": cleaned("ghost_market_log"),
+    "publish_outcomes": publish_outcomes,
+    "trajectory_build": trajectory_build,
 }
 
 

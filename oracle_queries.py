@@ -245,6 +245,12 @@ def value_counts(source: str, columns: list[str]) -> str:
 LINE_COLUMNS = "(SELECT *, CASE WHEN l_returnflag = 'R' THEN l_linestatus END AS returned FROM lineitem)"
 PART_COLUMNS = "(SELECT * REPLACE (CASE WHEN p_size > 5 THEN p_size END AS p_size) FROM part)"
 
+MARKET_NUMBERS = (
+    "price_usd quantity trade_value_usdt realized_pnl_usdt balance_usdt balance_dnx balance_sol balance_render "
+    "balance_asi balance_near balance_btc balance_pepe render_qty asi_qty near_qty btc_qty pepe_qty "
+    "cumulative_pnl portfolio_value"
+).split()
+
 ORACLE: dict[str, str] = {
     "column_health": f"WITH {ORDERS_DEAD} {health_rows('dead', DEAD_COLUMNS)}",
     "dead_column_drift": f"""
@@ -434,4 +440,50 @@ UNION ALL SELECT 'empty_feature', NULL, NULL""",
     "flat_signals": """
 SELECT event_id AS row_index, CAST(NULL AS BIGINT) AS ts_utc, '3.0.0' AS schema_version, user_id, event_type, value
 FROM events""",
+    "clean_gpu": """
+SELECT 0.7::DOUBLE + (event_id % 5) * 0.01::DOUBLE AS vddcr_gfx_v, (event_id % 11)::DOUBLE AS vram_temp_c,
+  value AS gpu_temp_c, user_id::DOUBLE AS power_w, (event_id % 7)::DOUBLE AS gpu_clock_mhz,
+  (event_id % 3)::DOUBLE AS mem_clock_mhz, (event_id % 7)::DOUBLE AS clock_mhz,
+  (event_id % 100)::DOUBLE AS fan_speed_pct, (event_id % 50)::DOUBLE AS mem_util_pct,
+  (event_id % 10)::DOUBLE AS qubic_tick_trace, (event_id % 4)::DOUBLE AS qubic_tick_rate,
+  (event_id % 13)::DOUBLE AS qubic_epoch_progress, event_id AS row_index FROM events""",
+    "clean_mining": """
+SELECT value AS hashrate_mh, user_id::DOUBLE AS power_w,
+  CASE WHEN event_id % 7 NOT IN (3, 4) THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+    || CASE WHEN left(strftime(ts, '%f'), 3) = '000' THEN ''
+            ELSE '.' || left(strftime(ts, '%f'), 3) || '000' END END AS timestamp,
+  CASE event_id % 7 WHEN 3 THEN 'dynex' WHEN 4 THEN 'qubic' END AS blockchain,
+  CASE event_id % 7 WHEN 3 THEN CAST('9' || event_id AS BIGINT) WHEN 4 THEN CAST('46' || event_id AS BIGINT) END
+    AS block_height,
+  CASE WHEN event_id % 7 = 4 THEN CAST(204 AS BIGINT) END AS chain_epoch
+FROM events WHERE event_id % 50 <> 6""",
+    "clean_ticks": """
+SELECT strftime(make_timestamp((1700000000 + event_id * 3 + event_id % 2) * 1000000), '%Y-%m-%dT%H:%M:%S+00:00')
+    AS timestamp, event_id * 5 + 100 AS tick, value AS tick_rate,
+  (event_id * 5)::DOUBLE / ((SELECT max(event_id) FROM events) * 5)::DOUBLE AS qubic_tick_trace,
+  round(1.0 + r, 6) AS hashrate_mh_derived, round(300.0 + 100.0 * r, 6) AS power_w_derived,
+  round(60.0 + 15.0 * r, 6) AS gpu_temp_c_derived, round(r, 6) AS reward_hint_derived
+FROM (SELECT *, (value - lo) / (hi - lo) AS r
+      FROM events, (SELECT min(value) AS lo, max(value) AS hi FROM events))""",
+    "clean_market": f"""
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '521+00:00' AS timestamp, event_id AS step,
+  CASE event_id % 3 WHEN 0 THEN 'buy' WHEN 1 THEN 'sell' ELSE 'observe' END AS action, event_type AS asset,
+  {", ".join(f"value + {k} AS {n}" for k, n in enumerate(MARKET_NUMBERS))},
+  CASE WHEN event_id % 2 = 0 THEN 'NVDA' ELSE 'AMD' END AS ch2_mode, 'r' || user_id AS reason FROM events""",
+    "publish_outcomes": """
+SELECT source, TRUE AS ok, n AS n_in, n - lost AS n_out, 2 AS n_samples
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 50 = 6) AS junk FROM events),
+LATERAL (VALUES ('neuromorphic_data', 0), ('node_sync_harvest', junk), ('qubic_ticks_snn', 0),
+                ('ghost_market_log', 0)) AS v(source, lost)""",
+    "trajectory_build": f"""
+WITH {LAYOUT}, per AS (SELECT split, count(*) AS n FROM placed WHERE split IS NOT NULL GROUP BY split)
+SELECT t.config, split, CASE WHEN t.filled THEN n ELSE 0 END AS n
+FROM per, (VALUES ('state_telemetry', TRUE), ('outcomes', TRUE), ('action_proposals', FALSE),
+                  ('safety_filter_log', FALSE)) AS t(config, filled)
+UNION ALL SELECT c, 'full', (SELECT count(*) FROM events)
+FROM (VALUES ('gpu_telemetry_v3'), ('qubic_signals')) AS f(c)
+UNION ALL SELECT 'encoding_params', 'train', 36
+UNION ALL SELECT c, 'train', (SELECT count(*) FROM events)
+FROM (VALUES ('gpu_telemetry'), ('hft'), ('qubic_ticks')) AS v(c)
+UNION ALL SELECT 'mining', 'train', count(*) FROM events WHERE event_id % 50 <> 6""",
 }
