@@ -10,6 +10,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The JVM does not compile methods above 8,000 bytes; wide stages then run split up instead of interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python call site of every expression takes longer than planning a small job.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
