@@ -811,11 +811,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return gate_report(spark, SMOKE_DIR)
 
 
+def training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, as far as they are installed."""
+    found: tuple[dict[str, Query], dict[str, str]] = ({}, {})
+    try:
+        from plumbline.llm import queries as operators
+        import corpus_pipeline as pipeline
+    except ModuleNotFoundError as absent:
+        if absent.name not in ("plumbline.llm", "corpus_pipeline"):
+            raise
+        return found
+    found[0].update(operators.QUERIES, pipeline=pipeline.run)
+    found[1].update(operators.ORACLE_SQL)
+    if pipeline.ORACLE_SQL is not None:
+        found[1]["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
-    return dict(ORACLE)
+    return dict(ORACLE) | training_data()[1]

@@ -8,7 +8,6 @@ then read only the columns they use.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +16,9 @@ from plumbline.sources import storage
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local one is made only for a local master."""
+    """The session's checkpoint folder; where none is set, a folder of its warehouse, which all executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or storage.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
 class Workspace:
