@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.sources.workspace import Workspace
@@ -47,7 +48,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).astype(np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
         if sizes.sum() <= PIECE_BYTES:
             yield batch
             continue
@@ -89,9 +90,9 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
         for k in keys:
             column = column_of(batch, k)
             if n > 1:
-                same = pa.compute.equal(column.slice(1), column.slice(0, n - 1))
-                both = pa.compute.and_(column.slice(1).is_null(), column.slice(0, n - 1).is_null())
-                change[1:] |= ~np.asarray(pa.compute.if_else(both, True, pa.compute.fill_null(same, False)))
+                same = pc.equal(column.slice(1), column.slice(0, n - 1))
+                both = pc.and_(column.slice(1).is_null(), column.slice(0, n - 1).is_null())
+                change[1:] |= ~np.asarray(pc.if_else(both, True, pc.fill_null(same, False)))
         cuts = [0, *np.flatnonzero(change).tolist(), n]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if a == b:

@@ -5,6 +5,27 @@ from __future__ import annotations
 from plumbline.llm.common import read_table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_rans_token_file(spark, sf_dir):
+    from plumbline.llm.common import scratch
+    from plumbline.llm.token_file import read_tokens, write_tokens
+
+    folder = scratch(spark).path("tokens")
+    write_tokens(read_table(spark, sf_dir, "documents"), folder, tokenizer_path(), end_id=1)
+    return read_tokens(spark, folder, digest_only=True)
+
+
+def op4_length_histogram(spark, sf_dir):
+    from plumbline.llm.lengths import length_histogram
+
+    return length_histogram(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_stratified_interleaving(spark, sf_dir):
     from plumbline.llm.sharding import interleaved
 
@@ -17,6 +38,6 @@ def op9_robust_outliers(spark, sf_dir):
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_stratified_interleaving, op9_robust_outliers)}
+QUERIES = {f.__name__: f for f in (op1_rans_token_file, op4_length_histogram, op8_stratified_interleaving, op9_robust_outliers)}
 
 ORACLE_SQL: dict[str, str] = {}

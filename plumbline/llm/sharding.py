@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from plumbline.llm.common import stratum_key, text_or_empty
 
 #: Rows that one ranking window holds on average, at most.
-ROWS_PER_BUCKET = 1 << 16
+ROWS_PER_BUCKET = 1 << 14
 SEED = 20_241
 
 _HASH_BITS = 62
