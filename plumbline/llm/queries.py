@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from plumbline.llm.common import read_table
 
 
@@ -20,6 +22,20 @@ def op1_rans_token_file(spark, sf_dir):
     return read_tokens(spark, folder, digest_only=True)
 
 
+def op2_suffix_automaton(spark, sf_dir):
+    from plumbline.llm.decontamination import contamination
+
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op3_count_min_windows(spark, sf_dir):
+    from plumbline.llm.substrings import without_repeats
+
+    return without_repeats(read_table(spark, sf_dir, "documents"), digest_only=True)
+
+
 def op4_length_histogram(spark, sf_dir):
     from plumbline.llm.lengths import length_histogram
 
@@ -38,6 +54,61 @@ def op9_robust_outliers(spark, sf_dir):
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rans_token_file, op4_length_histogram, op8_stratified_interleaving, op9_robust_outliers)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op8_stratified_interleaving, op9_robust_outliers)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_automaton": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[k + 1:k + l], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS k
+        FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, l, p, array_to_string(w[p + 1:p + l], ' ') AS win
+  FROM (SELECT doc_id, w, l, unnest(range(0, len(w) - l + 1)) AS p
+        FROM d, (SELECT DISTINCT l FROM iw) WHERE len(w) >= l)
+), hits AS (
+  SELECT doc_id, p, l, item_id FROM dw JOIN iw USING (l, win)
+), per_doc AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM (SELECT DISTINCT doc_id, p, l FROM hits)) GROUP BY doc_id
+), per_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_items USING (doc_id)
+""",
+    "op3_count_min_windows": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, p, md5(array_to_string(w[p + 1:p + 50], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS p FROM d WHERE len(w) >= 50)
+), firsts AS (
+  SELECT h, min(doc_id) AS first_doc FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT DISTINCT doc_id, q
+  FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q FROM win JOIN firsts USING (h) WHERE doc_id > first_doc)
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE c.q IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY u.q) FILTER (WHERE c.q IS NULL) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS q FROM d WHERE len(w) > 0) u
+  LEFT JOIN covered c USING (doc_id, q) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+}
