@@ -42,6 +42,13 @@ def op4_length_histogram(spark, sf_dir):
     return length_histogram(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_temperature_mixing(spark, sf_dir):
+    from plumbline.llm.mixing import mixed
+
+    taken = mixed(read_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "source", "alpha", "weight", "epoch", "block", "block_rank")
+
+
 def op8_stratified_interleaving(spark, sf_dir):
     from plumbline.llm.sharding import interleaved
 
@@ -54,7 +61,13 @@ def op9_robust_outliers(spark, sf_dir):
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op8_stratified_interleaving, op9_robust_outliers)}
+def op10_log_bloom(spark, sf_dir):
+    from plumbline.llm.scoring import scored
+
+    return scored(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op7_temperature_mixing, op8_stratified_interleaving, op9_robust_outliers, op10_log_bloom)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_automaton": r"""
