@@ -192,9 +192,10 @@ def _distance() -> Column:
     return total
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _start(rows: DataFrame, work) -> DataFrame:
     """Medians and squared scaled median absolute deviations as a first estimate without correlations."""
     medians = rows.groupBy("_g").agg(*[F.percentile_approx(f, 0.5, 1000).alias(f"m_{i}") for i, f in enumerate(_F)])
+    medians = work.stage(medians, "medians")
     spread = rows.join(medians, "_g").groupBy("_g").agg(
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(_P)],
         *[F.percentile_approx(F.abs(F.col(f) - F.col(f"m_{i}")), 0.5, 1000).alias(f"d_{i}") for i, f in enumerate(_F)],
@@ -246,7 +247,7 @@ def _step(rows: DataFrame, estimate: DataFrame, support: float) -> DataFrame:
 def estimates(table: DataFrame, work, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """The estimate of each group of ``table`` (with ``_g`` and the features); written at each step."""
     rows = table.filter(~F.col("base_failed")).select("_g", *_F)
-    estimate = work.stage(_whitening(_start(rows)), "estimate")
+    estimate = work.stage(_whitening(_start(rows, work)), "estimate")
     for _ in range(steps):
         estimate = work.stage(_whitening(_step(rows, estimate, support)), "estimate")
     return estimate
