@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -18,13 +19,21 @@ from plumbline.llm.common import Remembered
 #: The piece rules under which white space always separates: nothing that matches spans it.
 _SEPARATING = {"Split", "ByteLevel"}
 
-_LETTERS = re.compile(rb"([A-Za-z]+)([.,]?)")
+#: Letters up to here have composed forms and lower cases of their own, whatever stands beside them.
+_PLAIN_LETTERS = "\u0180"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
 class PieceEncoder:
     """``ids(text)`` as little-endian unsigned integers of ``dtype`` and ``count(text)`` of UTF-8 texts."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -32,10 +41,14 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.merge = self.tokenizer.model.tokenize
         rules = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"].encode() for t in rules["added_tokens"]]
         self.by_piece = self._separates(rules)
-        self.stems = Remembered(self._encoded, limit)
+        self.letters = _byte_letters()
+        self.stems = Remembered(self._merged, limit)
+        self.marks = Remembered(self._encoded)
         self.pieces = Remembered(self._piece, limit)
         self.counts = Remembered(lambda piece: len(self._piece(piece)) // self.dtype.itemsize, limit)
 
@@ -56,15 +69,23 @@ class PieceEncoder:
         )
 
     def _encoded(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-        return np.asarray(ids, dtype=self.dtype).tobytes()
+        return self.pack(*self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
+
+    def pack(self, *ids: int) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _merged(self, stem: str) -> bytes:
+        """Lower-case letters are one pre-token: only the merges are left to do."""
+        letters = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
+        return self.pack(*[t.id for t in self.merge(letters)])
 
     def _piece(self, piece: bytes) -> bytes:
-        """A word of ASCII letters and a full stop or comma after it are separate tokens: look both up."""
-        if found := _LETTERS.fullmatch(piece):
-            stem, mark = found.groups()
+        """A word of plain letters and a full stop or comma after it are separate pre-tokens: look both up."""
+        marked = len(piece) > 1 and piece[-1] in b".,"
+        stem = (piece[:-1] if marked else piece).decode()
+        if stem.isalpha() and max(stem) < _PLAIN_LETTERS and "\u0130" not in stem:
             ids = self.stems[stem.lower()]
-            return ids + self.stems[mark] if mark else ids
+            return ids + self.marks[piece[-1:]] if marked else ids
         return self._encoded(piece)
 
     def ids(self, text: bytes) -> bytes:
