@@ -48,6 +48,12 @@ def op5_chosen_path_join(spark, sf_dir):
     return similar_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_crf_personal_data(spark, sf_dir):
+    from plumbline.llm.personal_data import personal_data
+
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op7_temperature_mixing(spark, sf_dir):
     from plumbline.llm.mixing import mixed
 
@@ -73,7 +79,7 @@ def op10_log_bloom(spark, sf_dir):
     return scored(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op5_chosen_path_join, op7_temperature_mixing, op8_stratified_interleaving, op9_robust_outliers, op10_log_bloom)}
+QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op5_chosen_path_join, op6_crf_personal_data, op7_temperature_mixing, op8_stratified_interleaving, op9_robust_outliers, op10_log_bloom)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_automaton": r"""
