@@ -28,10 +28,12 @@ class Workspace:
         self.spark = spark
         self.root = storage.join(folder or shared_folder(spark), f"plumbline-{uuid.uuid4().hex}")
         self._count = 0
+        self._paths: list[str] = []
 
     def path(self, name: str) -> str:
         self._count += 1
-        return storage.join(self.root, f"{self._count:03d}-{name}")
+        self._paths.append(storage.join(self.root, f"{self._count:03d}-{name}"))
+        return self._paths[-1]
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader over the written table."""
@@ -39,6 +41,11 @@ class Workspace:
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def drop(self, *names: str) -> None:
+        """Remove the tables of these names before the job ends; nothing may read them any more."""
+        for path in [p for p in self._paths if p.rsplit("/", 1)[-1][4:] in names]:
+            storage.remove(self.spark, path)
+
     def close(self) -> None:
         storage.remove(self.spark, self.root)
 
