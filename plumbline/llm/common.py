@@ -107,6 +107,42 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows or more of a partition sorted by ``key`` (an integer), none of which cuts a group."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        values = table.column(key).to_numpy()
+        cut = int(np.searchsorted(values, values[-1]))
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+            size -= cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def packed(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of ``data`` cut into pieces of ``lengths`` items."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64) * data.itemsize
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """What ``packed`` has packed: all items, and the number of each piece."""
+    values = column.to_pylist()
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(values), dtype), lengths
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = values.astype(np.uint64, copy=True)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.automaton import ItemAutomaton
 from plumbline.llm.common import column_of, pieces, texts_of
+from plumbline.llm.substrings import merged_spans
 
 WIDTH = 10
 WORDS_PER_AUTOMATON = 200_000
@@ -38,17 +39,6 @@ def folded_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping or touching spans as one."""
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
 def find_hits(words: list[bytes], automaton: ItemAutomaton) -> tuple[list[tuple[int, int]], set[str]]:
     """Merged hit spans and the items they belong to; only runs of words that items have are followed."""
     spans: list[tuple[int, int]] = []
@@ -62,7 +52,7 @@ def find_hits(words: list[bytes], automaton: ItemAutomaton) -> tuple[list[tuple[
     long = ends - starts >= automaton.least
     for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
         automaton.follow(codes[a:b].tolist(), a, spans, items)
-    return merged(spans), items
+    return merged_spans(spans), items
 
 
 def _automata(benchmark: DataFrame, width: int, limit: int) -> list:
@@ -109,7 +99,7 @@ def _matched(docs: DataFrame, keep: list[str], benchmark: DataFrame, width: int,
                     sizes.append(len(words))
                     found, names = find_hits(words, automaton)
                     if found:
-                        spans[i] = merged([(s["a"], s["b"]) for s in spans[i]] + found)
+                        spans[i] = merged_spans([(s["a"], s["b"]) for s in spans[i]] + found)
                         spans[i] = [{"a": a, "b": b} for a, b in spans[i]]
                         items[i] = sorted({*items[i], *(x.rpartition("\0")[0] for x in names)})
                 added = [pa.array(spans, pa.list_(span)), pa.array(items, pa.list_(pa.string())), pa.array(sizes, pa.int32())]

@@ -9,9 +9,10 @@ smaller ``doc_id`` are removed.
    merged by sums. A cell that holds several anchors only overestimates, so no repeated window is lost.
 2. Cells with a count of two or more are kept. If they fit SKETCH_BYTES as a bitmap, it is broadcast and windows whose
    anchor has such a cell in every row of the sketch are emitted; if they don't, anchors find their cells by joins.
-3. Emitted windows are grouped exactly, by 128 bits of hash over all their words: the smallest ``doc_id`` of each, then
-   the windows that start in a larger one. Both steps are joins and partial aggregates; a window that a third of all
-   documents share costs its partial minima, and Spark may split the rows of its key.
+3. Emitted windows are grouped exactly, by the 64 bits of their anchor and 64 bits of hash over all their words.
+   Neighbouring windows with one anchor travel as one row. Tasks reduce what they read to the smallest ``doc_id`` of each
+   window before anything is shuffled, so an anchor that a third of all documents share costs one row per task; the
+   windows that start in a larger ``doc_id`` are then found by a join whose rows of one key Spark may split.
 """
 
 from __future__ import annotations
@@ -22,7 +23,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import column_of, hashed_words, mix64, pieces, scratch, texts_of, word_hasher
+from plumbline.llm.common import (
+    column_of,
+    hashed_words,
+    mix64,
+    packed,
+    pieces,
+    scratch,
+    texts_of,
+    unpacked,
+    whole_groups,
+    word_hasher,
+)
 
 WIDTH = 50
 ANCHOR = 8
@@ -145,102 +157,174 @@ def _bitmaps(repeated: DataFrame, depth: int, n_cells: int) -> np.ndarray:
     return bits
 
 
-def _candidates_by_broadcast(docs: DataFrame, bits: np.ndarray, width: int, anchor: int, n_cells: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+_RUNS = "anchor long, doc_id long, at int, hashes binary"
+
+
+def _bitmap_test(spark, bits: np.ndarray, n_cells: int):
+    """Tells of anchors whether every row of the broadcast sketch has a count of two or more."""
+    shared = spark.sparkContext.broadcast(bits)
 
     def repeated(keys: np.ndarray) -> np.ndarray:
         ok = np.ones(len(keys), dtype=bool)
-        for row, packed in enumerate(shared.value):
+        for row, words in enumerate(shared.value):
             cell = cells(keys, row, n_cells)
-            ok &= (packed[cell >> 5] >> (cell & 31).astype(np.uint32)) & np.uint32(1) == 1
+            ok &= (words[cell >> 5] >> (cell & 31).astype(np.uint32)) & np.uint32(1) == 1
         return ok
 
-    return _candidates(docs, width, anchor, repeated)
+    return repeated
 
 
-def _candidates(docs: DataFrame, width: int, anchor: int, repeated) -> DataFrame:
-    """``doc_id, at, h1, h2`` of the windows whose anchor is estimated repeated."""
+def _runs(docs: DataFrame, width: int, anchor: int, repeated=None) -> DataFrame:
+    """``anchor, doc_id, at, hashes``: runs of windows with one anchor, from word ``at`` on; those ``repeated``, if given."""
 
     def emit(batches):
         hashes = word_hasher()
         for piece in pieces(batches):
-            ids = column_of(piece, "doc_id").to_pylist()
             out: list[tuple] = []
+            ids = column_of(piece, "doc_id").to_pylist()
             for doc_id, words in zip(ids, _hashed_texts(piece, hashes), strict=True):
                 keys = anchors(words, width, anchor)
                 if not len(keys):
                     continue
-                at = np.flatnonzero(repeated(keys))
-                if len(at):
-                    out.append((np.full(len(at), doc_id), at, rolling(words, width)[at], rolling(words, width, 1)[at]))
+                starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+                own = keys[starts]
+                lengths = np.diff(np.append(starts, len(keys)))
+                ok = np.ones(len(own), dtype=bool) if repeated is None else repeated(own)
+                if ok.any():
+                    windows = rolling(words, width)[np.repeat(ok, lengths)]
+                    out.append((own[ok], np.full(int(ok.sum()), doc_id), starts[ok], lengths[ok], windows))
             if out:
-                doc, at, h1, h2 = (np.concatenate(x) for x in zip(*out, strict=True))
+                own, doc, at, lengths, windows = (np.concatenate(x) for x in zip(*out, strict=True))
+                arrays = [pa.array(own.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(at.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc.astype(np.int64)), pa.array(at.astype(np.int32))]
-                    + [pa.array(h.view(np.int64)) for h in (h1, h2)],
-                    names=["doc_id", "at", "h1", "h2"],
+                    [*arrays, packed(windows, lengths)], names=["anchor", "doc_id", "at", "hashes"]
                 )
 
-    known = _keyed(docs).filter("doc_id is not null")
-    return known.mapInArrow(emit, "doc_id long, at int, h1 long, h2 long")
+    return _keyed(docs).filter("doc_id is not null").mapInArrow(emit, _RUNS)
 
 
-def _candidates_by_join(docs: DataFrame, repeated: DataFrame, width: int, anchor: int, depth: int, n_cells: int) -> DataFrame:
-    """The same rows when the sketch is too large to be sent everywhere: each window finds its cells by a join."""
+def _runs_by_join(docs: DataFrame, repeated: DataFrame, width: int, anchor: int, depth: int, n_cells: int) -> DataFrame:
+    """The same rows when the sketch is too large to be sent everywhere: each run finds its cells by a join."""
 
-    def emit(batches):
-        hashes = word_hasher()
-        for piece in pieces(batches):
-            ids = column_of(piece, "doc_id").to_pylist()
-            for doc_id, words in zip(ids, _hashed_texts(piece, hashes), strict=True):
-                keys = anchors(words, width, anchor)
-                if len(keys):
-                    arrays = [
-                        np.full(len(keys), doc_id, np.int64),
-                        np.arange(len(keys), dtype=np.int32),
-                        rolling(words, width).view(np.int64),
-                        rolling(words, width, 1).view(np.int64),
-                        *[cells(keys, row, n_cells) for row in range(depth)],
-                    ]
-                    names = ["doc_id", "at", "h1", "h2", *[f"c{row}" for row in range(depth)]]
-                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
-
-    schema = "doc_id long, at int, h1 long, h2 long" + "".join(f", c{row} long" for row in range(depth))
-    rows = _keyed(docs).filter("doc_id is not null").mapInArrow(emit, schema)
+    def find(batches):
+        for batch in batches:
+            keys = np.asarray(column_of(batch, "anchor")).view(np.uint64)
+            found = [pa.array(cells(keys, row, n_cells)) for row in range(depth)]
+            names = [*batch.schema.names, *[f"c{row}" for row in range(depth)]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=names)
+
+    schema = _RUNS + "".join(f", c{row} long" for row in range(depth))
+    rows = _runs(docs, width, anchor).mapInArrow(find, schema)
     for row in range(depth):
         hot = repeated.filter(F.col("row") == row).select(F.col("cell").alias(f"c{row}"))
         rows = rows.join(hot, f"c{row}", "left_semi")
-    return rows.select("doc_id", "at", "h1", "h2")
+    return rows.select("anchor", "doc_id", "at", "hashes")
+
+
+def _reduced(anchor: np.ndarray, window: np.ndarray, first: np.ndarray, twice: np.ndarray):
+    """One entry for each window: its smallest document, and whether more than one has it; sorted by anchor and window."""
+    order = np.lexsort((first, window, anchor))
+    anchor, window, first, twice = anchor[order], window[order], first[order], twice[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1])
+    at = np.flatnonzero(new)
+    more = np.zeros(len(order), dtype=bool)
+    more[1:] = ~new[1:] & (first[1:] != first[:-1])
+    return anchor[at], window[at], first[at], np.logical_or.reduceat(twice | more, at)
+
+
+def _as_rows(anchor: np.ndarray, window: np.ndarray, first: np.ndarray, twice: np.ndarray | None) -> pa.RecordBatch:
+    """A row for each anchor."""
+    starts = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1])
+    lengths = np.diff(np.append(starts, len(anchor)))
+    arrays = [pa.array(anchor[starts].view(np.int64)), packed(window, lengths), packed(first, lengths)]
+    names = ["anchor", "windows", "firsts"]
+    if twice is not None:
+        arrays.append(packed(twice.astype(np.uint8), lengths))
+        names.append("twice")
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def first_documents(runs: DataFrame) -> DataFrame:
+    """``anchor, windows, firsts``: of each anchor, the windows that start in two documents or more, sorted, with the
+    smallest of these documents."""
+
+    def reduce_task(batches):
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            windows, lengths = unpacked(column_of(batch, "hashes"), "<u8")
+            own = np.repeat(np.asarray(column_of(batch, "anchor")).view(np.uint64), lengths)
+            doc = np.repeat(np.asarray(column_of(batch, "doc_id")), lengths)
+            held.append((own, windows, doc, np.zeros(len(own), dtype=bool)))
+            size += len(own)
+            if size > 1_500_000:
+                yield _as_rows(*_reduced(*(np.concatenate(x) for x in zip(*held, strict=True))))
+                held, size = [], 0
+        if held:
+            yield _as_rows(*_reduced(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+    def merge(batches):
+        for rows in whole_groups(batches, "anchor"):
+            windows, lengths = unpacked(rows.column("windows"), "<u8")
+            firsts, _ = unpacked(rows.column("firsts"), "<i8")
+            twice, _ = unpacked(rows.column("twice"), "u1")
+            own = np.repeat(rows.column("anchor").to_numpy().view(np.uint64), lengths)
+            own, windows, firsts, twice = _reduced(own, windows, firsts, twice.astype(bool))
+            if twice.any():
+                yield _as_rows(own[twice], windows[twice], firsts[twice], None)
+
+    partial = runs.mapInArrow(reduce_task, "anchor long, windows binary, firsts binary, twice binary")
+    dealt = partial.repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(merge, "anchor long, windows binary, firsts binary")
 
 
-def repeated_windows(
+def repeated_spans(
     docs: DataFrame, work, width: int = WIDTH, anchor: int = ANCHOR, depth: int = DEPTH, sketch_bytes: int = SKETCH_BYTES
 ) -> DataFrame:
-    """``doc_id, at``: windows whose words also start in a document with a smaller id."""
+    """``doc_id, a, b``: spans of words under windows that also start in a document with a smaller id."""
     # One anchor in about (width - anchor + 2) / 2 windows, and a word has about six bytes.
     text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
     expected = max(1024, text_bytes // 6 * 2 // (width - min(anchor, width) + 2))
     n_cells = 1 << (expected * CELLS_PER_ANCHOR - 1).bit_length()
     repeated = sketch_cells(docs, width, anchor, depth, n_cells)
     if depth * n_cells // 8 <= sketch_bytes:
-        found = _candidates_by_broadcast(docs, _bitmaps(repeated, depth, n_cells), width, anchor, n_cells)
+        runs = _runs(docs, width, anchor, _bitmap_test(docs.sparkSession, _bitmaps(repeated, depth, n_cells), n_cells))
     else:
-        found = _candidates_by_join(docs, work.stage(repeated, "cells"), width, anchor, depth, n_cells)
-    found = work.stage(found, "windows")
-    first = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
-    first = first.filter("_first < _last").drop("_last")
-    return found.join(first, ["h1", "h2"]).filter("doc_id > _first").select("doc_id", "at")
-
-
-def covered_words(at: list[int], width: int) -> list[tuple[int, int]]:
-    """Spans of words under windows that start at ``at``."""
-    spans: list[list[int]] = []
-    for a in sorted(at):
-        if spans and a <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], a + width)
+        runs = _runs_by_join(docs, work.stage(repeated, "cells"), width, anchor, depth, n_cells)
+    runs = work.stage(runs, "runs")
+
+    def spans(batches):
+        for batch in batches:
+            rows = (column_of(batch, c).to_pylist() for c in ("doc_id", "at", "hashes", "windows", "firsts"))
+            doc, start, end = [], [], []
+            for doc_id, at, hashes, windows, firsts in zip(*rows, strict=True):
+                own, known = np.frombuffer(hashes, "<u8"), np.frombuffer(windows, "<u8")
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                hit = (known[place] == own) & (np.frombuffer(firsts, "<i8")[place] < doc_id)
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
+                for a, b in zip((edges[::2] + at).tolist(), (edges[1::2] + at + width - 1).tolist(), strict=True):
+                    doc.append(doc_id)
+                    start.append(a)
+                    end.append(b)
+            arrays = [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "a", "b"])
+
+    joined = runs.join(work.stage(first_documents(runs), "firsts"), "anchor")
+    return joined.mapInArrow(spans, "doc_id long, a int, b int")
+
+
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping or touching spans as one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
         else:
-            spans.append([a, a + width])
-    return [(a, b) for a, b in spans]
+            out.append([a, b])
+    return [(a, b) for a, b in out]
 
 
 def without_repeats(
@@ -258,21 +342,21 @@ def without_repeats(
     held against all of them by position, so they should not differ. Texts shorter than a window stay as they are.
     """
     work = scratch(docs.sparkSession)
-    windows = repeated_windows(docs, work, width, anchor, depth, sketch_bytes)
-    # A document's windows are at most as many as its words.
-    marks = windows.groupBy("doc_id").agg(F.sort_array(F.collect_list("at")).alias("_at"))
-    marks = work.stage(marks, "marks")
+    spans = repeated_spans(docs, work, width, anchor, depth, sketch_bytes)
+    # A document's spans are at most as many as its words.
+    marks = work.stage(spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("_spans")), "marks")
+    work.drop("runs", "firsts", "cells")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
     def remove(batches):
         for piece in pieces(batches):
             out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
-            for text, at in zip(texts_of(piece), column_of(piece, "_at"), strict=True):
+            for text, spans in zip(texts_of(piece), column_of(piece, "_spans").to_pylist(), strict=True):
                 words = text.split()
                 kept, last = words, 0
-                if at.is_valid:
+                if spans:
                     kept = []
-                    for a, b in covered_words(at.values.to_pylist(), width):
+                    for a, b in merged_spans([(x["a"], x["b"]) for x in spans]):
                         kept += words[last:a]
                         last = b
                     kept += words[last:]
