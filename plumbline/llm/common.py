@@ -28,6 +28,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def scratch(spark: SparkSession) -> Workspace:
     """Tables under the shared folder of the session; a result that reads them needs them after the call."""
     return Workspace(spark)
@@ -37,6 +44,12 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def row_and(docs: DataFrame, *needed: Column | str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``docs`` packed as ``_row`` beside the columns an operator needs, so that no names can clash."""
+    packed_columns = [F.col(f"`{c}`") for c in docs.columns if c not in without]
+    return docs.select(F.struct(*packed_columns).alias("_row"), *needed)
+
+
 def stratum_key(*columns: str) -> Column:
     """One string for a combination of values in which null differs from every value."""
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)]))

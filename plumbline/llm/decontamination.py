@@ -10,7 +10,6 @@ several automata, and texts pass through one after the other in the same tasks,
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.automaton import ItemAutomaton
-from plumbline.llm.common import column_of, pieces, texts_of
+from plumbline.llm.common import column_of, pieces, row_and, texts_of
 from plumbline.llm.substrings import merged_spans
 
 WIDTH = 10
@@ -79,9 +78,8 @@ def _automata(benchmark: DataFrame, width: int, limit: int) -> list:
 _FOUND = "_spans array<struct<a:int,b:int>>, _items array<string>, _n_words int"
 
 
-def _matched(docs: DataFrame, keep: list[str], benchmark: DataFrame, width: int, limit: int) -> DataFrame:
-    """``keep``, ``text`` and the hits of every row, from all automata."""
-    wanted = docs.select(*keep, F.col("text").cast("string").alias("text"))
+def _matched(wanted: DataFrame, benchmark: DataFrame, width: int, limit: int) -> DataFrame:
+    """``wanted``, of which one column is ``text``, and the hits of every row, from all automata."""
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields)
     span = pa.struct([("a", pa.int32()), ("b", pa.int32())])
     given = wanted.columns
@@ -119,7 +117,8 @@ def contamination(
 ) -> DataFrame:
     """Hits of every row: ``doc_id, n_words, n_hit, n_items, items`` (sorted as strings), ``spans`` (of word numbers),
     ``coverage`` and ``contaminated``. A null text has no words; equal rows get equal results."""
-    found = _matched(docs, ["doc_id"], benchmark, width, words_per_automaton)
+    wanted = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    found = _matched(wanted, benchmark, width, words_per_automaton)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + (s["b"] - s["a"]))
     return found.select(
         "doc_id",
@@ -133,10 +132,6 @@ def contamination(
     )
 
 
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 def cut_text(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans; a line break stands where each was."""
     at = [m.span() for m in _WORD.finditer(text)]
@@ -158,45 +153,37 @@ def decontaminated(
     """``docs`` with its columns, hit spans cut out of ``text`` where they are too long or cover too much of it.
 
     A row of which no word is left is dropped; every other row stays, and texts without such spans are unchanged.
-    ``n_chars``, if there is one, is that of the new text. The automata see the text once more after a cut, since the
+    ``n_chars``, if there is one, is that of the new text where it was cut. The automata see the text once more after a cut, since the
     words around it may meet in a window.
     """
-    columns = docs.columns
-    keep = [c for c in columns if c != "text"]
-    out = docs
+    n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    out = row_and(docs, F.col("text").cast("string").alias("text"), n_chars.alias("_n_chars"), without=("text",))
     for _ in range(2):
-        found = _matched(out, keep, benchmark, width, words_per_automaton)
-        out = _cut(found, columns, span_limit, coverage_limit)
-    return out
-
+        found = _matched(out, benchmark, width, words_per_automaton)
+        out = _cut(found, out.schema, span_limit, coverage_limit)
+    fresh = {"text": F.col("text"), "n_chars": F.col("_n_chars")}
+    columns = [fresh.get(f.name, F.col("_row").getField(f.name)).cast(f.dataType).alias(f.name) for f in docs.schema]
+    return out.select(*columns)
 
-def _cut(found: DataFrame, columns: list[str], span_limit: int, coverage_limit: float) -> DataFrame:
-    schema = found.select(*columns).schema
 
+def _cut(found: DataFrame, schema, span_limit: int, coverage_limit: float) -> DataFrame:
     def cut(batches):
         for piece in pieces(batches):
             texts = column_of(piece, "text").to_pylist()
             sizes = column_of(piece, "_n_words").to_pylist()
+            n_chars = column_of(piece, "_n_chars").to_pylist()
             stay = []
             for i, spans in enumerate(column_of(piece, "_spans").to_pylist()):
                 pairs = [(s["a"], s["b"]) for s in spans]
                 hit = sum(b - a for a, b in pairs)
                 if hit <= coverage_limit * sizes[i]:
                     pairs = [(a, b) for a, b in pairs if b - a >= span_limit]
-                cut_words = sum(b - a for a, b in pairs)
-                stay.append(not pairs or cut_words < sizes[i])
+                stay.append(not pairs or sum(b - a for a, b in pairs) < sizes[i])
                 if pairs:
                     texts[i] = cut_text(texts[i].encode(), pairs).decode()
-            new = {"text": pa.array(texts, pa.string())}
-            arrays = []
-            for name in columns:
-                array = new.get(name, column_of(piece, name))
-                if name == "n_chars":
-                    touched = [len(s) > 0 for s in column_of(piece, "_spans").to_pylist()]
-                    values = [len(t) if c else n for t, c, n in zip(texts, touched, array.to_pylist(), strict=True)]
-                    array = pa.array(values, array.type)
-                arrays.append(array)
-            batch = pa.RecordBatch.from_arrays(arrays, names=columns)
+                    n_chars[i] = len(texts[i])
+            arrays = [column_of(piece, "_row"), pa.array(texts, pa.string()), pa.array(n_chars, pa.int64())]
+            batch = pa.RecordBatch.from_arrays(arrays, names=["_row", "text", "_n_chars"])
             yield batch.filter(pa.array(stay))
 
     return found.mapInArrow(cut, schema)

@@ -16,7 +16,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.llm.common import SPACE_CLASS, stratum_key, text_or_empty
+from plumbline.llm.common import SPACE_CLASS, row_and, stratum_key, text_or_empty
 
 BLOCKS_PER_SOURCE = 1024
 SEED = 8_191
@@ -92,7 +92,7 @@ def source_weights(
     return spark.createDataFrame(made, schema)
 
 
-def mixed(
+def _taken(
     docs: DataFrame,
     repeat_limit: float | None = REPEAT_LIMIT,
     target_entropy: float | None = None,
@@ -101,19 +101,11 @@ def mixed(
     seed: int = SEED,
     blocks: int = BLOCKS_PER_SOURCE,
 ) -> DataFrame:
-    """``docs`` with each row as often as its block is taken, and ``alpha, weight, epoch, block, block_rank``.
-
-    ``epoch`` counts from 0 and ``block_rank`` is the block's place in the permutation of that epoch. Only ``budget``
-    tokens below a source's weight leave rows out, by whole blocks; without a budget every source is taken at least
-    once. A null source is a source. Rows without tokens are taken as often as their block; of a source that has no
-    tokens at all, once. Rows with equal ids and texts share a block.
-    """
-    if clash := {*docs.columns} & {"alpha", "weight", "epoch", "block", "block_rank"}:
-        raise ValueError(f"columns that mixing adds: {sorted(clash)}")
+    """``_row`` as often as its block is taken, and what the mixture decided about it."""
     tokens = word_count() if tokens is None else tokens
     weights = source_weights(docs, tokens, repeat_limit, target_entropy, budget)
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
-    dealt = docs.withColumns({"_s": stratum_key("source"), "block": F.pmod(key, F.lit(blocks)).cast("int")})
+    dealt = row_and(docs, "doc_id", "text", "source").withColumns({"_s": stratum_key("source"), "block": F.pmod(key, F.lit(blocks)).cast("int")})
 
     # Epochs and the partial epoch of each block: ordered within a source by the seeded hash of (epoch, block).
     sizes = dealt.select("_s", "block", tokens.alias("_t")).groupBy("_s", "block").agg(F.sum("_t").alias("_t"))
@@ -146,7 +138,42 @@ def mixed(
         F.sort_array(F.collect_list(F.struct("epoch", "block_rank"))).alias("_copies"),
     )
     return (
-        dealt.join(copies, ["_s", "block"])
+        dealt.select("_row", "_s", "block").join(copies, ["_s", "block"])
         .withColumn("_copy", F.explode("_copies"))
-        .select(*docs.columns, "alpha", "weight", F.col("_copy.epoch"), "block", F.col("_copy.block_rank"))
+        .select("_row", "alpha", "weight", F.col("_copy.epoch"), "block", F.col("_copy.block_rank"))
     )
+
+
+def mixed(
+    docs: DataFrame,
+    repeat_limit: float | None = REPEAT_LIMIT,
+    target_entropy: float | None = None,
+    budget: int | None = None,
+    tokens=None,
+    seed: int = SEED,
+    blocks: int = BLOCKS_PER_SOURCE,
+) -> DataFrame:
+    """``docs`` with each row as often as its block is taken, and ``alpha, weight, epoch, block, block_rank``.
+
+    ``epoch`` counts from 0 and ``block_rank`` is the block's place in the permutation of that epoch. Only ``budget``
+    tokens below a source's weight leave rows out, by whole blocks; without a budget every source is taken at least
+    once. A null source is a source. Rows without tokens are taken as often as their block; of a source that has no
+    tokens at all, once. Rows with equal ids and texts share a block. An empty table gives an empty result. A column that
+    has the name of one that is added gives way to it.
+    """
+    added = ["alpha", "weight", "epoch", "block", "block_rank"]
+    taken = _taken(docs, repeat_limit, target_entropy, budget, tokens, seed, blocks)
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in added], *added)
+
+
+def mixed_rows(
+    docs: DataFrame,
+    repeat_limit: float | None = REPEAT_LIMIT,
+    target_entropy: float | None = None,
+    budget: int | None = None,
+    tokens=None,
+    seed: int = SEED,
+    blocks: int = BLOCKS_PER_SOURCE,
+) -> DataFrame:
+    """The rows of ``mixed`` with the columns of ``docs`` alone, whatever their names."""
+    return _taken(docs, repeat_limit, target_entropy, budget, tokens, seed, blocks).select("_row.*")

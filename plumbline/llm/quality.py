@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plumbline.llm.common import SPACE_CLASS, scratch, stratum_key, text_or_empty
+from plumbline.llm.common import SPACE_CLASS, row_and, scratch, stratum_key, text_or_empty
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -253,42 +253,51 @@ def estimates(table: DataFrame, work, support: float = SUPPORT, steps: int = STE
     return estimate
 
 
+_MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def _judged(docs: DataFrame, keep: list[str], cutoff: float, min_group: int, support: float, steps: int) -> DataFrame:
+    work = scratch(docs.sparkSession)
+    table = work.stage(measured(docs, keep), "measures")
+    passing = table.filter(~F.col("base_failed")).groupBy("_group").agg(F.count("*").alias("_rows"))
+    own = passing.filter(F.col("_rows") >= min_group).select("_group", F.col("_group").alias("_own"))
+    own = work.stage(own, "groups")
+    rest = passing.filter(F.col("_rows") < min_group).agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    shared = F.lit("*") if rest >= min_group else F.lit(None).cast("string")
+    grouped = _features(table.join(own, "_group", "left")).withColumn("_g", F.coalesce("_own", shared))
+    estimate = estimates(grouped, work, support, steps)
+    judged = grouped.join(estimate, "_g", "left").withColumn("_distance", F.sqrt(_distance()))
+    fits = F.coalesce(F.col("_distance") <= math.sqrt(chi2_quantile(cutoff, _P)), F.lit(True))
+    return judged.withColumn("_kept", ~F.col("base_failed") & fits)
+
+
 def quality_verdicts(
     docs: DataFrame,
-    keep: list[str] | None = None,
     cutoff: float = CUTOFF_QUANTILE,
     min_group: int = MIN_GROUP,
     support: float = SUPPORT,
     steps: int = STEPS,
 ) -> DataFrame:
-    """``keep`` (``doc_id`` unless given), the measures, ``base_failed``, ``distance`` and ``kept`` of every row.
+    """``doc_id``, the measures, ``base_failed``, ``kept`` and ``distance`` of every row.
 
     A null text is empty and so fails the base rules. Null languages and sources form groups of their own. Groups with
     fewer than ``min_group`` rows that pass the base rules share one estimate; if these rows together are still fewer,
-    they have none, ``distance`` is null and the base rules alone decide. Equal rows get equal verdicts.
+    they have none, ``distance`` is null and the base rules alone decide. Equal rows get equal verdicts; an empty table
+    gives an empty result; other columns are ignored.
     """
-    keep = keep or ["doc_id"]
-    if clash := {*keep} & {*FEATURES, "_group", "_n_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"}:
-        raise ValueError(f"columns that the verdict adds: {sorted(clash)}")
-    work = scratch(docs.sparkSession)
-    table = work.stage(measured(docs, keep), "measures")
-    passing = table.filter(~F.col("base_failed")).groupBy("_group").agg(F.count("*").alias("_rows"))
-    own = work.stage(passing.filter(F.col("_rows") >= min_group).select("_group", F.col("_group").alias("_own")), "groups")
-    rest = passing.filter(F.col("_rows") < min_group).agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
-    shared = F.lit("*") if rest >= min_group else F.lit(None).cast("string")
-    grouped = _features(table.join(own, "_group", "left")).withColumn("_g", F.coalesce("_own", shared))
-    estimate = estimates(grouped, work, support, steps)
-    limit = chi2_quantile(cutoff, _P)
-    judged = grouped.join(estimate, "_g", "left").withColumn("distance", F.sqrt(_distance()))
-    fits = F.coalesce(F.col("distance") <= math.sqrt(limit), F.lit(True))
+    judged = _judged(docs, ["doc_id"], cutoff, min_group, support, steps)
     return judged.select(
-        *keep,
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & fits).alias("kept"),
-        F.round("distance", 4).alias("distance"),
+        "doc_id", *_MEASURES, F.col("_kept").alias("kept"), F.round("_distance", 4).alias("distance")
     )
+
+
+def of_quality(
+    docs: DataFrame,
+    cutoff: float = CUTOFF_QUANTILE,
+    min_group: int = MIN_GROUP,
+    support: float = SUPPORT,
+    steps: int = STEPS,
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names."""
+    rows = row_and(docs, "text", "lang", "source")
+    return _judged(rows, ["_row"], cutoff, min_group, support, steps).filter("_kept").select("_row.*")

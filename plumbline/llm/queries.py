@@ -4,13 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import read_table
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+from plumbline.llm.common import read_table, tokenizer_path
 
 
 def op1_rans_token_file(spark, sf_dir):
