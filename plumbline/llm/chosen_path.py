@@ -2,8 +2,8 @@
 
 Texts become sets of word shingles; equal sets are one node. Nodes carry a signature of COORDINATES min-hashes, in which
 two nodes agree at a coordinate with the probability of their similarity. One run samples coordinates and splits the nodes
-by their values there, then splits every bucket that is still large by freshly sampled coordinates, and so on: a pair at
-the threshold is expected in one bucket on every level. Small buckets are compared by brute force. Runs are repeated until
+by their values there, and again by freshly sampled coordinates; then every bucket that is still large is split further:
+a pair at the threshold is expected in one bucket on every level. Small buckets are compared by brute force. Runs are repeated until
 the recall at the threshold reaches the target.
 
 What buckets yield is connections of likely pairs. The nodes of a connected family meet once more with their whole sets,
@@ -104,29 +104,34 @@ def _chosen(buckets: np.ndarray, share: float) -> np.ndarray:
     return (drawn >> np.uint64(11)).astype(np.float64) < share * float(1 << 53)
 
 
+def _split(buckets: np.ndarray, row: np.ndarray, values: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets one level below, and the row of ``values`` that is in each."""
+    at, coordinate = np.nonzero(_chosen(buckets, share))
+    below = mix64(buckets[at] + coordinate.astype(np.uint64))
+    return mix64(below ^ values[row[at], coordinate]), row[at]
+
+
 def _children(rows: DataFrame, threshold: float, roots: int = 0) -> DataFrame:
-    """``bucket, node`` one level below; with ``roots`` the rows have no bucket and enter so many runs."""
+    """``bucket, node`` one level below; with ``roots`` the rows have no bucket and enter so many runs.
+
+    A run begins with two levels at once: after one, texts that merely share a passage still meet in large buckets.
+    """
     share = 1 / (threshold * COORDINATES)
 
     def split(batches):
         first = mix64(np.arange(1, roots + 1, dtype=np.uint64))
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
                 nodes = np.asarray(column_of(batch, "node"))
                 values = np.frombuffer(b"".join(column_of(batch, "signature").to_pylist()), np.uint32)
                 values = values.reshape(-1, COORDINATES).astype(np.uint64)
+                row = np.arange(len(nodes))
                 if roots:
-                    run, coordinate = np.nonzero(_chosen(first, share))
-                    row = np.repeat(np.arange(len(nodes)), len(run))
-                    above, coordinate = np.tile(first[run], len(nodes)), np.tile(coordinate, len(nodes))
+                    buckets, row = _split(np.tile(first, len(nodes)), np.repeat(row, roots), values, share)
                 else:
                     buckets = np.asarray(column_of(batch, "bucket")).view(np.uint64)
-                    row, coordinate = np.nonzero(_chosen(buckets, share))
-                    above = buckets[row]
-                if not len(row):
-                    continue
-                child = mix64(mix64(above + coordinate.astype(np.uint64)) ^ values[row, coordinate])
+                child, row = _split(buckets, row, values, share)
                 arrays = [pa.array(child.view(np.int64)), pa.array(nodes[row])]
                 yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "node"])
 
@@ -190,7 +195,7 @@ def candidate_edges(nodes: DataFrame, work, threshold: float, runs: int) -> Data
     """Spanning edges of likely pairs, from all runs; ``nodes`` has ``node, signature``."""
     found = None
     items = _children(nodes.select("node", "signature"), threshold, roots=runs)
-    for depth in range(1, MAX_DEPTH + 1):
+    for depth in range(2, MAX_DEPTH + 1):
         items = work.stage(items, "items")
         print_of = F.xxhash64("node")
         sizes = items.groupBy("bucket").agg(
@@ -267,7 +272,8 @@ def _links(docs: DataFrame, active: DataFrame, threshold: float) -> DataFrame:
             arrays = [nodes, label, linked.sum(axis=1).astype(np.int64), (linked @ n_docs).astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["node", "label", "n_links", "n_linked"])
 
-    wanted = docs.select("doc_id", "text").join(active, "doc_id").drop("doc_id")
+    # Families grow with the corpus, so their members are not sent to every task, even where they are few.
+    wanted = docs.select("doc_id", "text").join(active.hint("merge"), "doc_id").drop("doc_id")
     schema = "family long, _i int, _j int, _own int, node long, n_docs long, shingles binary"
     keys = ["family", "_i", "_j"]
     met = wanted.mapInArrow(sets, schema).repartition(*keys).sortWithinPartitions(*keys)
