@@ -55,19 +55,21 @@ def stratum_key(*columns: str) -> Column:
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)]))
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of each piece stay near PIECE_BYTES; a longer text is a piece of its own."""
+def pieces(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size_limit: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of each piece stay within ``size_limit``; a longer text is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
         sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
-        if sizes.sum() <= PIECE_BYTES:
+        if sizes.sum() <= size_limit:
             yield batch
             continue
         total, start = 0, 0
         for i, size in enumerate(sizes.tolist()):
-            if total and total + size > PIECE_BYTES:
+            if total and total + size > size_limit:
                 yield batch.slice(start, i - start)
                 total, start = 0, i
             total += size

@@ -71,7 +71,7 @@ class Filter:
         for k, packed in sorted(parts.items()):
             self.bits[k], self.first[k], self.here[k] = len(packed) * 8, at, True
             at += len(packed)
-        self.packed = np.concatenate([parts[k] for k in sorted(parts)]) if parts else np.zeros(1, np.uint8)
+        self.packed = np.concatenate([parts.pop(k) for k in sorted(parts)]) if parts else np.zeros(1, np.uint8)
 
     def has(self, grams: np.ndarray) -> np.ndarray:
         return self.here[slice_of(grams, self.n_slices)]

@@ -14,8 +14,6 @@ quantised counts; at the start of a text v is the end token.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -37,10 +35,14 @@ SMOOTHING = 0.1
 #: Pseudo-count of a context, against its quantised count.
 CONTEXT = 5.0
 #: Words and pairs that a task sums at a time, and tokens for each slice.
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 TOKENS_PER_SLICE = 3_000_000
 BROADCAST_BYTES = 256 << 20
+#: Text that a task looks up at a time, and hashes of words that it remembers.
+PIECE = 3_000_000
+REMEMBERED = 150_000
 
+LARGE = 255
 _END = np.uint64(0x5851F42D4C957F2D)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -74,10 +76,13 @@ def _word_grams(tokens: np.ndarray) -> np.ndarray:
 
 
 def model_slices(docs: DataFrame, work, n_slices: int) -> DataFrame:
-    """``slice, n_tokens, n_words, filter, words, counts``: one row per slice of the counted documents."""
+    """``slice, n_tokens, n_words, filter, words, counts, large``: one row per slice of the counted documents.
+
+    ``counts`` has a byte per word; a word with LARGE there has its count in ``large``.
+    """
 
     def count(batches):
-        hashes = word_hasher()
+        hashes = word_hasher(REMEMBERED)
         held: list[np.ndarray] = []
         size = 0
 
@@ -98,7 +103,7 @@ def model_slices(docs: DataFrame, work, n_slices: int) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays(arrays, names=["slice", "order", "keys", "n"])
 
-        for piece in pieces(batches):
+        for piece in pieces(batches, size_limit=PIECE):
             tokens, _ = token_hashes(texts_of(piece), hashes)
             held.append(tokens)
             size += len(tokens)
@@ -127,41 +132,50 @@ def model_slices(docs: DataFrame, work, n_slices: int) -> DataFrame:
                 len(sums[1][0]),
                 packed.tobytes(),
                 sums[1][0].astype("<u8").tobytes(),
-                sums[1][1].astype("<i8").tobytes(),
+                np.minimum(sums[1][1], LARGE).astype(np.uint8).tobytes(),
+                sums[1][1][sums[1][1] >= LARGE].astype("<i8").tobytes(),
             )
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            names = ["slice", "n_tokens", "n_words", "filter", "words", "counts"]
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            names = ["slice", "n_tokens", "n_words", "filter", "words", "counts", "large"]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
 
     counted = docs.filter(~held_out()).select(F.col("text").cast("string").alias("text"))
     sums = counted.mapInArrow(count, "slice int, order int, keys binary, n binary")
     dealt = sums.repartition(n_slices, "slice").sortWithinPartitions("slice", "order")
-    schema = "slice int, n_tokens long, n_words long, filter binary, words binary, counts binary"
+    schema = "slice int, n_tokens long, n_words long, filter binary, words binary, counts binary, large binary"
     return work.stage(dealt.mapInArrow(build, schema), "model")
 
 
-@dataclass
 class Part:
     """Some slices of the model: the filter, and exact word counts by word hash."""
 
-    filter: logbloom.Filter
-    words: np.ndarray
-    counts: np.ndarray
-
-    @staticmethod
-    def of(rows: list, n_slices: int) -> Part:
-        rows = sorted(rows, key=lambda r: r["slice"])
-        parts = {r["slice"]: np.frombuffer(r["filter"], np.uint8) for r in rows}
-        words = [np.frombuffer(r["words"], "<u8") for r in rows] or [np.zeros(0, np.uint64)]
-        counts = [np.frombuffer(r["counts"], "<i8") for r in rows] or [np.zeros(0, np.int64)]
-        # Slices are ranges of the hash and sorted inside, so all words are sorted.
-        return Part(logbloom.Filter(n_slices, parts), np.concatenate(words), np.concatenate(counts))
+    def __init__(self, rows, sizes: list, n_slices: int):
+        """``rows`` are read one after the other, in any order; ``sizes`` has how many words each holds, by slice."""
+        ends = np.cumsum([r["n_words"] for r in sizes], dtype=np.int64)
+        ends_of = {r["slice"]: int(end) for r, end in zip(sizes, ends, strict=True)}
+        words = int(ends[-1]) if len(ends) else 0
+        self.words, self.counts = np.zeros(words, np.uint64), np.zeros(words, np.uint8)
+        packed: dict[int, np.ndarray] = {}
+        large: dict[int, np.ndarray] = {}
+        for r in rows:
+            # Slices are ranges of the hash and sorted inside, so all words are sorted.
+            own = slice(ends_of[r["slice"]] - r["n_words"], ends_of[r["slice"]])
+            self.words[own] = np.frombuffer(r["words"], "<u8")
+            self.counts[own] = np.frombuffer(r["counts"], np.uint8)
+            packed[r["slice"]] = np.frombuffer(r["filter"], np.uint8)
+            large[r["slice"]] = np.frombuffer(r["large"], "<i8")
+        self.filter = logbloom.Filter(n_slices, packed)
+        self.large = np.concatenate([np.zeros(0, np.int64), *(large[k] for k in sorted(large))])
+        self.large_at = np.flatnonzero(self.counts == LARGE)
 
     def exact(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(grams), dtype=np.int64)
         at = np.minimum(np.searchsorted(self.words, grams), len(self.words) - 1)
-        return np.where(self.words[at] == grams, self.counts[at], 0)
+        out = np.where(self.words[at] == grams, self.counts[at], 0).astype(np.int64)
+        many = np.flatnonzero(out == LARGE)
+        out[many] = self.large[np.searchsorted(self.large_at, at[many])]
+        return out
 
     def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Exact counts, word levels and pair levels of all tokens; 0 for what other slices have."""
@@ -205,12 +219,13 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_slices = max(1, -(-(size // 6) // tokens_per_slice))
     model = model_slices(rows, work, n_slices)
-    bytes_of = F.octet_length("filter") + F.octet_length("words") + F.octet_length("counts")
+    bytes_of = sum((F.octet_length(c) for c in ("filter", "words", "counts", "large")), F.lit(0))
     sizes = model.select("slice", "n_tokens", "n_words", bytes_of.alias("size")).collect()  # a few numbers per slice
+    sizes.sort(key=lambda r: r["slice"])
     n, v = sum(r["n_tokens"] for r in sizes), sum(r["n_words"] for r in sizes)
     rounds: list[list[int]] = [[]]
     held = 0
-    for r in sorted(sizes, key=lambda r: r["slice"]):
+    for r in sizes:
         if rounds[-1] and held + r["size"] > broadcast_bytes:
             rounds.append([])
             held = 0
@@ -218,15 +233,18 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
         held += r["size"]
 
     def part(slices: list[int]) -> Part:
-        return Part.of(model.filter(F.col("slice").isin(slices)).toLocalIterator(), n_slices)
+        if not slices:
+            return Part([], [], n_slices)
+        rows = model.filter(F.col("slice").between(slices[0], slices[-1]))
+        return Part(rows.toLocalIterator(), [r for r in sizes if slices[0] <= r["slice"] <= slices[-1]], n_slices)
 
     end = _word_grams(np.array([_END]))
 
     def fill(shared, last: bool, first: bool, end_level: int):
         def run(batches):
-            hashes = word_hasher()
+            hashes = word_hasher(REMEMBERED)
             here = shared.value
-            for piece in pieces(batches):
+            for piece in pieces(batches, size_limit=PIECE):
                 tokens, sizes = token_hashes(texts_of(piece), hashes)
                 found = here.look_up(tokens)
                 if not first:
