@@ -12,7 +12,10 @@ SAMPLE_VALUES = 5
 def long_values(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """``(column, value)`` with one row per cell; values as text, nulls kept."""
     names = list(columns or df.columns)
-    as_text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names])
+    # Adding zero makes one value of the two zeros of a float column.
+    kinds = dict(df.dtypes)
+    same_zero = lambda c: F.col(f"`{c}`") + F.lit(0.0) if kinds[c] in ("float", "double") else F.col(f"`{c}`")
+    as_text = df.select(*[same_zero(c).cast(kinds[c]).cast("string").alias(c) for c in names])
     return as_text.unpivot([], names, "column", "value")
 
 

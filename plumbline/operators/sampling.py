@@ -10,6 +10,8 @@ SEED = 20260803
 # Up to here one top-n does; larger draws first find the digest range that holds the n smallest rows.
 TOP_N_ROWS = 100_000
 DIGEST_RANGES = 65_536
+# Parts of a stratum that are ranked by themselves first.
+RANK_PARTS = 64
 
 
 def draw_key(order_by: str, seed: int = SEED) -> Column:
@@ -21,9 +23,11 @@ def seeded_sample(
 ) -> DataFrame:
     """Exactly ``n`` rows (all of them if there are fewer), ordered by ``order_by``.
 
-    Rows are ranked by a seeded digest of their order value, so the draw does not depend on partitioning.
+    Rows are ranked by a seeded digest of their order value, which is unique, so the draw does not depend on
+    partitioning.
     """
-    keyed = df.withColumn("_draw", draw_key(order_by, seed))
+    # Only keys are ranked; the rows are fetched by a join with the keys that were drawn.
+    keyed = df.select(draw_key(order_by, seed).alias("_draw"), F.col(order_by))
     smallest = lambda rows, k: rows.orderBy("_draw", order_by).limit(k)
     if n <= top_n_rows:
         picked = smallest(keyed, n)
@@ -43,8 +47,7 @@ def seeded_sample(
             picked = keyed.filter(F.col("_range") < boundary).unionByName(
                 smallest(keyed.filter(F.col("_range") == boundary), n - taken)
             )
-        picked = picked.drop("_range")
-    return picked.drop("_draw").orderBy(order_by)
+    return df.join(picked.select(order_by), order_by, "left_semi").select(*df.columns).orderBy(order_by)
 
 
 def stratified_sample(
@@ -59,24 +62,29 @@ def stratified_sample(
 ) -> DataFrame:
     """First ``n`` rows of each stratum (last ``n`` for ``take_last``, every row for ``take_all``).
 
-    Rows come out in ``strata_order`` and source order. The ranking limit is applied in each task before
-    the shuffle, so a stratum with most of the table sends ``n`` rows per task; strata taken whole are
-    never ranked.
+    Rows come out in ``strata_order`` and source order; strata that it does not name follow in the order of their
+    names, rows without a stratum come last. Strata taken whole are never ranked. Others are ranked twice, first in
+    each of RANK_PARTS parts of a stratum and then over the ``n`` first rows of the parts, so no task ever orders a
+    stratum that holds most of the table.
     """
     last, whole = list(take_last), list(take_all)
     kind = F.col(stratum)
     position = F.when(kind.isin(last), -F.col(order_by)).otherwise(F.col(order_by)) if last else F.col(order_by)
-    ranked_part = df.filter(~kind.isin(whole)) if whole else df
-    picked = (
-        ranked_part.withColumn("_position", position)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(stratum).orderBy("_position")))
-        .filter(F.col("_rank") <= n)
-        .drop("_position", "_rank")
+    in_whole = F.coalesce(kind.isin(whole), F.lit(False))
+    first = df.filter(~in_whole) if whole else df
+    first = first.withColumn("_position", position).withColumn(
+        "_part", F.pmod(F.xxhash64(order_by), F.lit(RANK_PARTS))
     )
+    for groups in ((stratum, "_part"), (stratum,)):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_position"))
+        first = first.withColumn("_rank", rank).filter(F.col("_rank") <= n)
+    picked = first.drop("_position", "_part", "_rank")
     if whole:
-        picked = picked.unionByName(df.filter(kind.isin(whole)))
+        picked = picked.unionByName(df.filter(in_whole))
     place = F.array_position(F.array(*[F.lit(s) for s in strata_order]), kind)
-    return picked.filter(place > 0).orderBy(place, order_by)
+    unlisted = len(strata_order) + 1
+    place = F.when(kind.isNull(), unlisted + 1).when(place > 0, place).otherwise(unlisted)
+    return picked.orderBy(place, F.when(place == unlisted, kind), order_by)
 
 
 def marker_filter(
