@@ -31,7 +31,7 @@ COVERAGE_LIMIT = 0.2
 _FOLD = bytes(
     (c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256)
 )
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = re.compile(rb"[^\x20]+")
 
 
 def folded_words(text: bytes) -> list[bytes]:
@@ -134,7 +134,7 @@ def contamination(
 
 def cut_text(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans; a line break stands where each was."""
-    at = [m.span() for m in _WORD.finditer(text)]
+    at = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
     out, last = [], 0
     for a, b in spans:
         out.append(text[last : at[a][0]])
