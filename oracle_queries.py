@@ -246,10 +246,26 @@ LINE_COLUMNS = "(SELECT *, CASE WHEN l_returnflag = 'R' THEN l_linestatus END AS
 PART_COLUMNS = "(SELECT * REPLACE (CASE WHEN p_size > 5 THEN p_size END AS p_size) FROM part)"
 
 MARKET_NUMBERS = (
-    "price_usd quantity trade_value_usdt realized_pnl_usdt balance_usdt balance_dnx balance_sol balance_render "
-    "balance_asi balance_near balance_btc balance_pepe render_qty asi_qty near_qty btc_qty pepe_qty "
-    "cumulative_pnl portfolio_value"
-).split()
+    "price_usd",
+    "quantity",
+    "trade_value_usdt",
+    "realized_pnl_usdt",
+    "balance_usdt",
+    "balance_dnx",
+    "balance_sol",
+    "balance_render",
+    "balance_asi",
+    "balance_near",
+    "balance_btc",
+    "balance_pepe",
+    "render_qty",
+    "asi_qty",
+    "near_qty",
+    "btc_qty",
+    "pepe_qty",
+    "cumulative_pnl",
+    "portfolio_value",
+)
 
 ORACLE: dict[str, str] = {
     "column_health": f"WITH {ORDERS_DEAD} {health_rows('dead', DEAD_COLUMNS)}",
@@ -367,6 +383,11 @@ SELECT event_id, event_type FROM (
     PARTITION BY event_type
     ORDER BY CASE WHEN event_type = 'purchase' THEN -event_id ELSE event_id END) AS rn FROM events)
 WHERE rn <= 20 OR event_type = 'error'""",
+    "unlisted_strata": """
+SELECT event_id, kind AS event_type FROM (
+  SELECT event_id, kind, row_number() OVER (PARTITION BY kind ORDER BY event_id) AS rn
+  FROM (SELECT event_id, nullif(event_type, 'signup') AS kind FROM events))
+WHERE rn <= 30 OR kind = 'error'""",
     "marker_filter": """
 SELECT doc_id, lang, n_chars FROM documents
 WHERE contains(text, 'http') OR contains(text, 'License') OR contains(text, '@')""",
@@ -394,6 +415,14 @@ SELECT event_id, 'capture' AS episode_id, value,
     "step_structure": f"""
 WITH {LAYOUT} SELECT event_id, episode_id, step_idx, step_idx = 0 AS is_first,
   lead(step_idx) OVER (PARTITION BY episode_id ORDER BY step_idx) IS NULL AS is_last FROM placed""",
+    "gapped_episode_flags": f"""
+WITH {LAYOUT} SELECT event_id, episode_id, step_idx, value,
+  lead(value, {HORIZON}) OVER w - value AS d_value, step_idx = 0 AS is_first, lead(step_idx) OVER w IS NULL AS is_last
+FROM placed WHERE event_id % 10 <> 3 WINDOW w AS (PARTITION BY episode_id ORDER BY step_idx)""",
+    "gapped_capture_flags": f"""
+SELECT 'capture' AS episode_id, event_id AS step_idx, value, lead(value, {HORIZON}) OVER w - value AS d_value,
+  event_id = 0 AS is_first, lead(event_id) OVER w IS NULL AS is_last
+FROM events WHERE event_id % 10 <> 3 WINDOW w AS (ORDER BY event_id)""",
     "state_projection": f"""
 WITH {STATE} SELECT episode_id, step_idx, CAST(NULL AS BIGINT) AS ts_utc, '3.0.0' AS schema_version, gpu_temp_c,
   CAST(mask AS BIGINT) AS throttle_reasons, q AS num_requests_waiting,

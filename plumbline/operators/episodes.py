@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,44 +23,42 @@ class BuildError(RuntimeError):
 
 @dataclass(frozen=True)
 class SplitLayout:
-    """Half-open episode ranges per split; the episodes between them belong to no split."""
+    """Chronological blocks of whole episodes: lengths in order, with the split each belongs to (None: to none)."""
 
-    train: tuple[int, int]
-    validation: tuple[int, int]
-    test: tuple[int, int]
-    n_episodes: int
+    blocks: tuple[tuple[str | None, int], ...]
+
+    @property
+    def edges(self) -> list[int]:
+        """Where each block begins, and where the last one ends."""
+        return list(accumulate((n for _, n in self.blocks), initial=0))
+
+    @property
+    def n_episodes(self) -> int:
+        return self.edges[-1]
 
     @property
     def embargo(self) -> tuple[int, ...]:
-        return (
-            *range(self.train[1], self.validation[0]),
-            *range(self.validation[1], self.test[0]),
-        )
+        edges = self.edges
+        return tuple(e for i, (name, n) in enumerate(self.blocks) if name is None for e in range(edges[i], edges[i] + n))
 
     def bounds(self, split: str) -> tuple[int, int]:
-        return getattr(self, split)
+        at = [name for name, _ in self.blocks].index(split)
+        return self.edges[at], self.edges[at + 1]
 
     def split_of(self, episode: int) -> str | None:
-        if not 0 <= episode < self.n_episodes:
-            raise BuildError(f"episode {episode} lies outside 0..{self.n_episodes - 1}")
-        for name in SPLITS:
-            low, high = self.bounds(name)
-            if low <= episode < high:
-                return name
-        return None
+        block = bisect_right(self.edges, episode) - 1
+        if block not in range(len(self.blocks)):
+            raise BuildError(f"there is no episode {episode} in a layout of {self.n_episodes}")
+        return self.blocks[block][0]
 
     def split_column(self, episode: Column) -> Column:
         """Split name per row, null in the embargo, an error outside the layout."""
-        out = None
-        for name in SPLITS:
-            low, high = self.bounds(name)
-            inside = (episode >= low) & (episode < high)
-            out = F.when(inside, F.lit(name)) if out is None else out.when(inside, F.lit(name))
-        outside = (episode < 0) | (episode >= self.n_episodes)
-        return out.when(
-            outside,
-            F.raise_error(F.concat(F.lit("episode outside the split layout: "), episode.cast("string"))),
-        )
+        edges = self.edges
+        inside = (episode >= edges[0]) & (episode < edges[-1])
+        names = F.array(*[F.lit(name).cast("string") for name, _ in self.blocks])
+        block = sum(((episode >= edge).cast("int") for edge in edges[1:-1]), F.lit(0))
+        refused = F.raise_error(F.concat(F.lit("episode outside the split layout: "), episode.cast("string")))
+        return F.when(episode.isNotNull() & ~inside, refused.cast("string")).otherwise(F.get(names, block))
 
 
 def split_episodes(
@@ -66,15 +67,14 @@ def split_episodes(
     validation_fraction: float = VALIDATION_FRACTION,
     embargo: int = EMBARGO_EPISODES,
 ) -> SplitLayout:
-    """Three chronological blocks with ``embargo`` whole episodes left out between them."""
-    if n_episodes < 3 + 2 * embargo:
-        raise BuildError(f"{n_episodes} episodes are too few for three blocks and two gaps")
-    train_end = int(n_episodes * train_fraction)
-    validation = (train_end + embargo, train_end + embargo + int(n_episodes * validation_fraction))
-    test_start = validation[1] + embargo
-    if test_start >= n_episodes:
-        raise BuildError("the split fractions leave no episode for the test block")
-    return SplitLayout((0, train_end), validation, (test_start, n_episodes), n_episodes)
+    """Three chronological blocks with ``embargo`` whole episodes left out between them; the test block takes the rest."""
+    lengths = [math.floor(n_episodes * share) for share in (train_fraction, validation_fraction)]
+    rest = n_episodes - sum(lengths) - 2 * embargo
+    if n_episodes < len(SPLITS) + 2 * embargo or rest < 1:
+        raise BuildError(f"{n_episodes} episodes with gaps of {embargo} leave no episode for one of the three blocks")
+    gap = (None, embargo)
+    train, validation, test = zip(SPLITS, [*lengths, rest], strict=True)
+    return SplitLayout((train, gap, validation, gap, test))
 
 
 def episode_count(rows: int, episode_len: int = EPISODE_LEN) -> int:

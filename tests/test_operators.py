@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import health, integrity, profile, sampling, sequence
 from plumbline.operators.history import over_episodes
 from plumbline.operators.labels import label_states
-from plumbline.operators.outcomes import horizon_delta
+from plumbline.operators.outcomes import horizon_delta, step_flags
 from plumbline.plans.gates import GateConfig, assert_publishable, check_all
 
 SEC = 1_000_000
@@ -67,7 +67,7 @@ def test_jumps_and_tolerance(spark):
 @pytest.mark.parametrize(
     "seconds, expected",
     [
-        ([10 * i for i in range(100)], True),
+        ([15 * i for i in range(80)], True),
         ([0, 1, 2, 11, 12, 21, 22, 23], False),
         ([0, 10], False),
         ([], False),
@@ -84,8 +84,8 @@ def test_fabrication(spark, seconds, expected):
 @pytest.mark.parametrize(
     "seconds, cut",
     [
-        (list(range(100)) + [-50000 + i for i in range(50)], None),  # a third of the rows
-        ([0, 1, -90000, 5, 6], None),  # breaks again before the end: the run is 60 %
+        ([3 * i for i in range(120)] + [-40000 + 2 * i for i in range(60)], None),  # a third of the rows
+        ([0, 4, -71000, 9, 13], None),  # breaks again before the end: the run is 60 %
         (list(range(300)) + [-75600 + i for i in range(12)], 300),
         (list(range(300)) + [-75600, None, -75590], None),  # unstamped row in the run
         (list(range(300)) + [-75600 + i for i in range(12)] + [None], None),
@@ -199,6 +199,15 @@ def test_sample_is_exact_stable_and_spread(spark):
     assert sampling.seeded_sample(df, 9000, "k", top_n_rows=10).count() == 5000
 
 
+def test_unlisted_strata_follow_the_listed_ones(spark):
+    kinds = ["b"] * 3 + ["a"] * 3 + [None] * 2 + ["d"] * 3 + ["c"] * 2000
+    df = spark.createDataFrame(list(enumerate(kinds)), "k bigint, kind string")
+    out = sampling.stratified_sample(df, "kind", 2, "k", strata_order=["d", "a"])
+    assert [r.k for r in out.collect()] == [8, 9, 3, 4, 0, 1, 11, 12, 6, 7]
+    many = sampling.stratified_sample(df, "kind", 1500, "k", strata_order=["c"], take_all=["d"])
+    assert many.filter("kind = 'c'").count() == 1500 and many.count() == 1511
+
+
 def test_stratified_sample(spark):
     kinds = ["a"] * 50 + ["b"] * 50 + ["tail"] * 7 + ["c"] * 3
     df = spark.createDataFrame(list(enumerate(kinds)), "k bigint, kind string")
@@ -286,6 +295,17 @@ def test_chunked_windows_equal_whole_ones(spark, how):
     }
 
 
+@pytest.mark.parametrize("how", [{"episode_rows": 500}, {"chunk_steps": 10}, {"chunk_steps": 3}])
+def test_missing_steps_are_not_counted(spark, how):
+    """Windows count rows: a chunk that ends in a gap is no end of the episode."""
+    steps = [s for s in range(80) if s % 10 != 9 and not 30 <= s < 45]
+    df = spark.createDataFrame([("e", s, float(s * s % 37)) for s in steps], "episode_id string, step_idx int, v double")
+    got = step_flags(horizon_delta(df, "v", "d", horizon=2, **how), **how).orderBy("step_idx").collect()
+    values = [float(s * s % 37) for s in steps]
+    assert [r.is_last for r in got] == [False] * (len(steps) - 1) + [True]
+    assert [r.d for r in got] == [values[i + 2] - v if i + 2 < len(values) else None for i, v in enumerate(values)]
+
+
 def test_window_must_fit_its_chunk(spark):
     df = spark.createDataFrame([("e", 0, 1.0)], "episode_id string, step_idx int, v double")
     with pytest.raises(ValueError):
@@ -319,27 +339,27 @@ HISTORIES = {
     "thermal": ([{"m": 0x40 | 0x08 | 0x20}], "TR-003-HW-THERMAL"),
     "slowdown": ([{"m": 0x08 | 0x20}], "TR-004-HW-SLOWDOWN"),
     "soft thermal": ([{"m": 0x20}], "TR-005-SW-THERMAL"),
-    "kv 2": ([{"kv": 0.97}] * 2, "TR-000-NOMINAL"),
-    "kv 3": ([{"kv": 0.97}] * 3, "TR-006-KV-PRESSURE-EVICT"),
-    "kv 5": ([{"kv": 0.97}] * 5, "TR-006-KV-PRESSURE-EVICT"),
-    "kv 6": ([{"kv": 0.97}] * 6, "TR-007-KV-PRESSURE-BATCH"),
-    "kv gap": ([{"kv": 0.97}, {}, {"kv": 0.97}, {"kv": 0.97}], "TR-000-NOMINAL"),
-    "kv nan": ([{"kv": 0.97}, {"kv": NAN}, {"kv": 0.97}], "TR-000-NOMINAL"),
+    "kv 2": ([{"kv": 0.98}] * 2, "TR-000-NOMINAL"),
+    "kv 3": ([{"kv": 0.98}] * 3, "TR-006-KV-PRESSURE-EVICT"),
+    "kv 5": ([{"kv": 0.98}] * 5, "TR-006-KV-PRESSURE-EVICT"),
+    "kv 6": ([{"kv": 0.98}] * 6, "TR-007-KV-PRESSURE-BATCH"),
+    "kv gap": ([{"kv": 0.98}, {}, {"kv": 0.98}, {"kv": 0.98}], "TR-000-NOMINAL"),
+    "kv nan": ([{"kv": 0.98}, {"kv": NAN}, {"kv": 0.98}], "TR-000-NOMINAL"),
     # The widened float 0.95 lies under the double 0.95.
     "kv threshold": ([{"kv": 0.95}] * 3, "TR-000-NOMINAL"),
-    "kv through unlabelled row": ([{"kv": 0.97}, {"kv": 0.97, "m": None}, {"kv": 0.97}], "TR-006-KV-PRESSURE-EVICT"),
-    "queue flat": ([{"q": q, "t": t} for q, t in zip([1, 5, 9], [100, 101, 99])], "TR-008-QUEUE-GROWTH"),
+    "kv through unlabelled row": ([{"kv": 0.98}, {"kv": 0.98, "m": None}, {"kv": 0.98}], "TR-006-KV-PRESSURE-EVICT"),
+    "queue flat": ([{"q": q, "t": t} for q, t in zip([2, 6, 13], [80, 82, 81])], "TR-008-QUEUE-GROWTH"),
     "queue flat preempting": (
-        [{"q": q, "t": t, "p": p} for q, t, p in zip([1, 5, 9], [100, 101, 99], [0, 3, 7])],
+        [{"q": q, "t": t, "p": p} for q, t, p in zip([2, 6, 13], [80, 82, 81], [4, 6, 15])],
         "TR-009-QUEUE-PREEMPT",
     ),
     "preempt middle missing": (
-        [{"q": q, "t": 100, "p": p} for q, p in zip([1, 5, 9], [0, None, 7])],
+        [{"q": q, "t": 100, "p": p} for q, p in zip([2, 6, 13], [4, None, 15])],
         "TR-009-QUEUE-PREEMPT",
     ),
-    "preempt level": ([{"q": q, "t": 100, "p": 3} for q in [1, 5, 9]], "TR-008-QUEUE-GROWTH"),
-    "queue with rising rate": ([{"q": q, "t": t} for q, t in zip([1, 5, 9], [100, 200, 400])], "TR-000-NOMINAL"),
-    "queue stalls": ([{"q": q, "t": 100} for q in [5, 9, 9]], "TR-000-NOMINAL"),
+    "preempt level": ([{"q": q, "t": 100, "p": 3} for q in [2, 6, 13]], "TR-008-QUEUE-GROWTH"),
+    "queue with rising rate": ([{"q": q, "t": t} for q, t in zip([2, 6, 13], [80, 150, 310])], "TR-000-NOMINAL"),
+    "queue stalls": ([{"q": q, "t": 100} for q in [4, 7, 7]], "TR-000-NOMINAL"),
     "queue, zero rate": ([{"q": q, "t": 0} for q in [1, 2, 3]], "TR-008-QUEUE-GROWTH"),
     "queue, missing rate": ([{"q": q, "t": t} for q, t in zip([1, 2, 3], [100, None, 100])], "TR-000-NOMINAL"),
     "queue, nan rate": ([{"q": q, "t": t} for q, t in zip([1, 2, 3], [100, NAN, 100])], "TR-000-NOMINAL"),
