@@ -30,6 +30,7 @@ from plumbline.operators.outcomes import (  # noqa: E402
     typed_projection,
 )
 from plumbline.operators.ranges import feature_ranges  # noqa: E402
+from plumbline.operators.trajectory import trajectories  # noqa: E402
 from plumbline.operators.scaling import derived_tick_columns, minmax_scaled  # noqa: E402
 from plumbline.plans import contracts as C  # noqa: E402
 from plumbline.plans.cleaners import ROW  # noqa: E402
@@ -564,13 +565,10 @@ def outcome_table(spark, sf_dir):
 
 
 def trajectory_join(spark, sf_dir):
-    state = state_table(spark, sf_dir)
-    joined = integrity.assemble_trajectories(
-        state,
-        label_actions(state, C.proposals_schema(), VERSION, **WINDOW),
-        build_outcomes(state, C.outcomes_schema(), VERSION, HORIZON, **WINDOW),
+    whole = trajectories(
+        state_table(spark, sf_dir), C.proposals_schema(), C.outcomes_schema(), VERSION, HORIZON, **WINDOW
     )
-    return joined.select("episode_id", "step_idx", "gpu_temp_c", "teacher_rule_id", "d_gpu_temp_c", "is_last")
+    return whole.select("episode_id", "step_idx", "gpu_temp_c", "teacher_rule_id", "d_gpu_temp_c", "is_last")
 
 
 def key_uniqueness(spark, sf_dir):

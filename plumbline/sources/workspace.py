@@ -8,6 +8,8 @@ then read only the columns they use.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,17 @@ def shared_folder(spark: SparkSession) -> str:
     return configured or storage.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
+_open: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _close_all() -> None:
+    """Scratch of lazy results is needed until they are read, at the latest until the program ends."""
+    for root, spark in list(_open.items()):
+        with contextlib.suppress(Exception):
+            storage.remove(spark, root)
+
+
 class Workspace:
     """Owns the scratch tables of one job and removes them on exit."""
 
@@ -28,6 +41,7 @@ class Workspace:
         self.spark = spark
         self.root = storage.join(folder or shared_folder(spark), f"plumbline-{uuid.uuid4().hex}")
         self._count = 0
+        _open[self.root] = spark
         self._paths: list[str] = []
 
     def path(self, name: str) -> str:
@@ -48,6 +62,7 @@ class Workspace:
 
     def close(self) -> None:
         storage.remove(self.spark, self.root)
+        _open.pop(self.root, None)
 
     def __enter__(self) -> Workspace:
         return self

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import health, integrity, profile, sampling, sequence
 from plumbline.operators.history import over_episodes
-from plumbline.operators.labels import label_states
-from plumbline.operators.outcomes import horizon_delta, step_flags
+from plumbline.operators.labels import label_actions, label_states
+from plumbline.operators.outcomes import build_outcomes, horizon_delta, step_flags, typed_projection
+from plumbline.operators.trajectory import trajectories
+from plumbline.plans import contracts as C
 from plumbline.plans.gates import GateConfig, assert_publishable, check_all
 
 SEC = 1_000_000
@@ -384,3 +386,29 @@ def test_label_rules(spark):
     first = {r.episode_id: r for r in label_states(state, episode_rows=16).collect() if r.step_idx == 0}
     ecc = first["ecc first"].label
     assert (ecc.action, ecc.action_id, ecc.paired_action) == ("escalate_to_human", 13, "migrate_workload")
+
+
+def test_one_window_gives_the_joined_trajectory(spark):
+    signals = {"throttle_reasons": "bigint", "ecc_dbe_vol": "bigint", "gpu_temp_c": "float", "gpu_cache_usage_perc": "float"}
+    known = {
+        "episode_id": F.format_string("e%d", F.col("id") % 3),
+        "step_idx": F.call_function("div", F.col("id"), F.lit(3)).cast("int"),
+        "throttle_reasons": F.when(F.col("id") % 11 != 4, F.element_at(F.array(*map(F.lit, (4, 32, 8))), (F.col("id") % 3 + 1).cast("int"))),
+        "ecc_dbe_vol": F.lit(0),
+        "gpu_temp_c": F.col("id") * 7 % 23,
+        "gpu_cache_usage_perc": F.when(F.col("id") % 40 > 9, 0.99),
+    }
+    state = spark.range(180).select(typed_projection(C.state_schema(), known))
+    assert set(signals) <= set(state.columns)
+    how = {"horizon": 5, "episode_rows": 60}
+    joined = integrity.assemble_trajectories(
+        state,
+        label_actions(state, C.proposals_schema(), "v", episode_rows=60),
+        build_outcomes(state, C.outcomes_schema(), "v", **how),
+    )
+    whole = trajectories(state, C.proposals_schema(), C.outcomes_schema(), "v", **how)
+    assert whole.dtypes == joined.dtypes
+    text = lambda df: sorted(r.j for r in df.select(F.to_json(F.struct(*df.columns)).alias("j")).collect())
+    assert text(whole) == text(joined)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
