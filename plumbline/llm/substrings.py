@@ -30,6 +30,7 @@ from plumbline.llm.common import (
     packed,
     pieces,
     scratch,
+    sorted_groups,
     texts_of,
     unpacked,
     whole_groups,
@@ -43,6 +44,8 @@ ANCHOR = 8
 DEPTH = 2
 CELLS_PER_ANCHOR = 4
 SKETCH_BYTES = 128 << 20
+#: Cells of a row that one task packs for the broadcast.
+BLOCK_CELLS = 1 << 20
 
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 #: Odd multipliers of the rolling sums, with their inverses modulo 2^64.
@@ -145,15 +148,24 @@ def sketch_cells(docs: DataFrame, width: int, anchor: int, depth: int, n_cells:
 
 
 def _bitmaps(repeated: DataFrame, depth: int, n_cells: int) -> np.ndarray:
-    """The cells as packed bits, gathered word by word; the caller has checked the size."""
-    word = F.shiftright("cell", 5)
-    packed = repeated.groupBy("row", word.alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(cell & 31 as int))")).alias("bits")
-    )
+    """The cells as packed bits, gathered in blocks of BLOCK_CELLS; the caller has checked their size."""
     bits = np.zeros((depth, max(1, n_cells >> 5)), dtype=np.uint32)
-    for batch in packed.select("row", "word", "bits").toArrow().to_batches():
-        at = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        bits[at] = np.asarray(batch.column(2)).astype(np.uint32)
+    block_cells = min(BLOCK_CELLS, n_cells)
+
+    def pack(batches):
+        for rows in sorted_groups(batches, ["row", "block"]):
+            flags = np.zeros(block_cells, dtype=bool)
+            flags[rows.column("cell").to_numpy() % block_cells] = True
+            packed_bits = np.packbits(flags, bitorder="little").tobytes()
+            own = [pa.array([rows.column(k)[0].as_py()], t) for k, t in (("row", pa.int32()), ("block", pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([packed_bits], pa.binary())], names=["row", "block", "bits"])
+
+    block = F.call_function("div", F.col("cell"), F.lit(block_cells)).alias("block")
+    dealt = repeated.select("row", block, "cell").repartition("row", "block").sortWithinPartitions("row", "block")
+    words = block_cells >> 5
+    for batch in dealt.mapInArrow(pack, "row int, block long, bits binary").toArrow().to_batches():
+        for row, at, own in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            bits[row, at * words : (at + 1) * words] = np.frombuffer(own, "<u4")
     return bits
 
 
