@@ -323,6 +323,28 @@ def jsonl_scan(spark, sf_dir):
     ).select("row_index", "r.*")
 
 
+def raw_line_sample(spark, sf_dir):
+    """A seeded sample of raw JSON lines by their line numbers, the lines unparsed."""
+    workspace = Workspace(spark)
+    path, _ = _write_event_lines(spark, sf_dir, workspace)
+    drawn = sampling.seeded_sample(read_jsonl(spark, path, workspace), 100, "row_index")
+    return drawn.select("row_index", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+
+
+def raw_lines_by_form(spark, sf_dir):
+    """Raw lines stratified by the shape of their timestamp text."""
+    workspace = Workspace(spark)
+    texts = event_time_texts(spark, sf_dir)
+    path = workspace.path("stamped-lines")
+    write_jsonl(texts, path, order_by="event_id", n_rows=texts.count())
+    stamp = F.get_json_object("value", "$.stamp")
+    lines = read_jsonl(spark, path, workspace).withColumn("form", timestamp_form(stamp))
+    drawn = sampling.stratified_sample(
+        lines, "form", 25, "row_index", strata_order=["datetime", "coin_height"], take_last=["coin_height"]
+    )
+    return drawn.select("row_index", "form", stamp.alias("stamp"))
+
+
 def line_count(spark, sf_dir):
     with Workspace(spark) as workspace:
         path, n = _write_event_lines(spark, sf_dir, workspace)
@@ -788,6 +810,8 @@ QUERIES: dict[str, Query] = {
     "ingest_counts": ingest_counts,
     "ingest_examples": ingest_examples,
     "jsonl_scan": jsonl_scan,
+    "raw_line_sample": raw_line_sample,
+    "raw_lines_by_form": raw_lines_by_form,
     "line_count": line_count,
     "jsonl_render": jsonl_render,
     "roundtrip_verify": roundtrip_verify,

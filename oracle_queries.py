@@ -351,6 +351,15 @@ SELECT 'unparseable' AS reason, count(*) AS n FROM read WHERE NOT is_tag AND ts_
 WHERE error_class IN ('malformed', 'schema') ORDER BY row_index LIMIT 5""",
     "jsonl_scan": """
 SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_index, event_id, user_id, event_type, value FROM events""",
+    "raw_line_sample": """
+SELECT row_index, event_id FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_index, event_id FROM events)
+ORDER BY md5('20260803:' || row_index), row_index LIMIT 100""",
+    "raw_lines_by_form": f"""
+WITH {TEXTS}, lines AS (
+  SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_index, {FORM} AS form, stamp FROM texts)
+SELECT row_index, form, stamp FROM (SELECT *, row_number() OVER (
+  PARTITION BY form ORDER BY CASE WHEN form = 'coin_height' THEN -row_index ELSE row_index END) AS rn FROM lines)
+WHERE rn <= 25""",
     "line_count": "SELECT count(*) AS n_lines, count(*) AS n_rows FROM events",
     "jsonl_render": """
 SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","priority":'
