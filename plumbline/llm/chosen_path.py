@@ -37,8 +37,8 @@ MAX_DEPTH = 4
 #: Buckets of at most so many nodes are compared; larger ones are split, and at the last level compared in blocks.
 SMALL = 256
 BLOCK = 1024
-#: Runs after which known families are taken into account.
-FIRST_RUNS = 4
+#: A bucket with this share of the nodes of the bucket above it is not split further.
+KEPT = 0.75
 #: Members of a block of a family, of which two meet.
 FAMILY_BLOCK = 256
 #: A pair is likely if its signatures agree within so many standard deviations of the threshold.
@@ -113,31 +113,34 @@ def _split(buckets: np.ndarray, row: np.ndarray, values: np.ndarray, share: floa
     return mix64(below ^ values[row[at], coordinate]), row[at]
 
 
-def _children(rows: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
-    """``bucket, node, root`` one level below; with ``runs`` the rows have no bucket and enter these runs.
+def _children(rows: DataFrame, threshold: float, roots: int = 0) -> DataFrame:
+    """``bucket, node, above`` one level below, ``above`` being the size of the bucket it came from; with ``roots`` the
+    rows have no bucket and enter so many runs.
 
     A run begins with two levels at once: after one, texts that merely share a passage still meet in large buckets.
     """
     share = 1 / (threshold * COORDINATES)
 
     def split(batches):
-        first = mix64(np.array(runs or [], dtype=np.uint64) + np.uint64(1))
+        first = mix64(np.arange(1, roots + 1, dtype=np.uint64))
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                nodes, roots = np.asarray(column_of(batch, "node")), np.asarray(column_of(batch, "root"))
+                nodes = np.asarray(column_of(batch, "node"))
                 values = np.frombuffer(b"".join(column_of(batch, "signature").to_pylist()), np.uint32)
                 values = values.reshape(-1, COORDINATES).astype(np.uint64)
                 row = np.arange(len(nodes))
-                if runs:
-                    buckets, row = _split(np.tile(first, len(nodes)), np.repeat(row, len(first)), values, share)
+                if roots:
+                    buckets, row = _split(np.tile(first, len(nodes)), np.repeat(row, roots), values, share)
+                    sizes = np.full(len(nodes), np.iinfo(np.int64).max)
                 else:
                     buckets = np.asarray(column_of(batch, "bucket")).view(np.uint64)
+                    sizes = np.asarray(column_of(batch, "n"))
                 child, row = _split(buckets, row, values, share)
-                arrays = [pa.array(child.view(np.int64)), pa.array(nodes[row]), pa.array(roots[row])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "node", "root"])
+                arrays = [pa.array(child.view(np.int64)), pa.array(nodes[row]), pa.array(sizes[row])]
+                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "node", "above"])
 
-    return rows.mapInArrow(split, "bucket long, node long, root long")
+    return rows.mapInArrow(split, "bucket long, node long, above long")
 
 
 def likely(signatures: np.ndarray, least: int) -> np.ndarray:
@@ -193,13 +196,14 @@ def _likely_edges(leaves: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(compare, _EDGE)
 
 
-def _edges_of_runs(nodes: DataFrame, work, threshold: float, runs: range) -> DataFrame:
-    """Spanning edges of likely pairs from some runs; ``nodes`` has ``node, signature, root``.
+def candidate_edges(nodes: DataFrame, work, threshold: float, runs: int) -> DataFrame:
+    """Spanning edges of likely pairs, from all runs; ``nodes`` has ``node, signature``.
 
-    A bucket whose nodes all have one root, so are one family already, is not looked at.
+    A bucket that keeps most of the one above it holds near copies, which no further split would part: it is compared in
+    blocks as it is.
     """
     found = None
-    items = _children(nodes, threshold, runs)
+    items = _children(nodes.select("node", "signature"), threshold, roots=runs)
     for depth in range(2, MAX_DEPTH + 1):
         items = work.stage(items, "items")
         print_of = F.xxhash64("node")
@@ -207,39 +211,21 @@ def _edges_of_runs(nodes: DataFrame, work, threshold: float, runs: range) -> Dat
             F.count("*").alias("n"),
             F.bit_xor(print_of).alias("_x"),
             F.sum(F.shiftright(print_of, 20)).alias("_y"),
-            F.min("root").alias("_low"),
-            F.max("root").alias("_high"),
+            F.max("above").alias("_above"),
         )
+        small = (F.col("n") <= SMALL) | (F.col("n") >= KEPT * F.col("_above")) | F.lit(depth == MAX_DEPTH)
         # Buckets with the same nodes are one bucket.
-        sizes = sizes.filter("_low < _high").groupBy("n", "_x", "_y").agg(F.min("bucket").alias("bucket"))
-        sized = work.stage(items.drop("root").join(sizes.select("bucket", "n"), "bucket"), "sized")
-        last = depth == MAX_DEPTH
-        leaves = sized if last else sized.filter(F.col("n") <= SMALL)
-        edges = _likely_edges(leaves.join(nodes.select("node", "signature"), "node"), threshold)
+        sizes = sizes.filter("n > 1").groupBy("n", "_x", "_y").agg(F.min("bucket").alias("bucket"), F.max(small).alias("leaf"))
+        sized = work.stage(items.drop("above").join(sizes.select("bucket", "n", "leaf"), "bucket"), "sized")
+        edges = _likely_edges(sized.filter("leaf").join(nodes.select("node", "signature"), "node"), threshold)
         found = edges if found is None else found.union(edges)
-        large = sized.filter(F.col("n") > SMALL)
-        if last or large.isEmpty():
+        large = sized.filter("NOT leaf")
+        if depth == MAX_DEPTH or large.isEmpty():
             break
-        items = _children(large.select("bucket", "node").join(nodes, "node"), threshold)
+        items = _children(large.select("bucket", "node", "n").join(nodes.select("node", "signature"), "node"), threshold)
     return work.stage(found.distinct(), "candidates")
 
 
-def candidate_edges(nodes: DataFrame, work, threshold: float, runs: int) -> DataFrame:
-    """Spanning edges of likely pairs, from all runs; ``nodes`` has ``node, signature``.
-
-    The first runs find most families; the others pass over buckets that lie within one of them, since the pairs of
-    a family are decided by themselves. Large groups of near copies are so split and compared in few runs.
-    """
-    nodes = nodes.select("node", "signature")
-    first = min(FIRST_RUNS, runs)
-    edges = _edges_of_runs(nodes.withColumn("root", F.col("node")), work, threshold, range(first))
-    if first == runs:
-        return edges
-    families = connected_components(edges, work)
-    known = nodes.join(families, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return edges.union(_edges_of_runs(work.stage(known, "known"), work, threshold, range(first, runs)))
-
-
 def verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of a member of ``left`` and one of ``right`` (masks) reach the threshold, exactly."""
     n = len(sets)
