@@ -33,7 +33,7 @@ def _byte_letters() -> list[str]:
 class PieceEncoder:
     """``ids(text)`` as little-endian unsigned integers of ``dtype`` and ``count(text)`` of UTF-8 texts."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

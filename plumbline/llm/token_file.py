@@ -73,9 +73,7 @@ def token_counts(ids: DataFrame) -> DataFrame:
 
     def count(batches):
         total = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             found = np.bincount(np.concatenate(_arrays(batch)))
             if len(found) > len(total):
                 found[: len(total)] += total
