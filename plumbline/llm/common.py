@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plumbline.sources.workspace import Workspace
 
 #: Rows are handed on in pieces of at most so many bytes of text, whatever size Spark's batches have.
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 2_000_000
 
 #: ASCII white space, as bytes.split() has it: the words of the text operators.
 SPACE_CLASS = "\\x20\\x09-\\x0D"
@@ -74,6 +74,8 @@ def pieces(
                 total, start = 0, i
             total += size
         yield batch.slice(start)
+    # Workers serve many tasks; what Arrow no longer uses goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
