@@ -124,16 +124,29 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.Table]:
-    """Tables of about ``rows`` rows or more of a partition sorted by ``key`` (an integer), none of which cuts a group."""
+def _sliced(batches: Iterable[pa.RecordBatch], size_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``size_bytes``."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * size_bytes // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def whole_groups(
+    batches: Iterable[pa.RecordBatch], key: str, rows: int = 20_000, size_bytes: int | None = None
+) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows or ``size_bytes`` of a partition sorted by ``key`` (an integer), or more, none of which
+    cuts a group."""
     held: list[pa.RecordBatch] = []
     size = 0
+    if size_bytes is not None:
+        batches = _sliced(batches, size_bytes)
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         size += batch.num_rows
-        if size < rows:
+        if size < rows and (size_bytes is None or sum(x.nbytes for x in held) < size_bytes):
             continue
         table = pa.Table.from_batches(held)
         values = table.column(key).to_numpy()

@@ -11,8 +11,10 @@ smaller ``doc_id`` are removed.
    anchor has such a cell in every row of the sketch are emitted; if they don't, anchors find their cells by joins.
 3. Emitted windows are grouped exactly, by the 64 bits of their anchor and 64 bits of hash over all their words.
    Neighbouring windows with one anchor travel as one row. Tasks reduce what they read to the smallest ``doc_id`` of each
-   window before anything is shuffled, so an anchor that a third of all documents share costs one row per task; the
+   window before anything is shuffled, so a window that a third of all documents share costs one entry per task; the
    windows that start in a larger ``doc_id`` are then found by a join whose rows of one key Spark may split.
+4. An anchor of many different windows (a short line between other words each time) is split by the high bits of the
+   window hash into keys of about PART_WINDOWS different windows, so that neither a group nor a joined list grows with it.
 """
 
 from __future__ import annotations
@@ -46,6 +48,12 @@ CELLS_PER_ANCHOR = 4
 SKETCH_BYTES = 128 << 20
 #: Cells of a row that one task packs for the broadcast.
 BLOCK_CELLS = 1 << 20
+#: Different windows under one key, about; the share of windows by which they are estimated; anchors split at most.
+PART_WINDOWS = 512
+SHARE = 32
+SPLIT_ANCHORS = 1 << 21
+#: Partial reductions that a task merges together, about.
+GROUP_BYTES = 16 << 20
 
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 #: Odd multipliers of the rolling sums, with their inverses modulo 2^64.
@@ -233,6 +241,81 @@ def _runs_by_join(docs: DataFrame, repeated: DataFrame, width: int, anchor: int,
     return rows.select("anchor", "doc_id", "at", "hashes")
 
 
+def _split_anchors(runs: DataFrame, work, part_windows: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The anchors of more than ``part_windows`` different windows, sorted, and the bits by which each is split.
+
+    Different windows are counted exactly among those with one in SHARE of the hashes. If more than SPLIT_ANCHORS would be
+    split, those with the fewest bits stay whole.
+    """
+
+    def sample(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            windows, lengths = unpacked(column_of(batch, "hashes"), "<u8")
+            ok = windows % np.uint64(SHARE) == 0
+            own = np.repeat(np.asarray(column_of(batch, "anchor")), lengths)[ok]
+            arrays = [pa.array(own), pa.array(windows[ok].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "window"])
+
+    sampled = runs.select("anchor", "hashes").mapInArrow(sample, "anchor long, window long").distinct()
+    many = sampled.groupBy("anchor").agg((F.count("*") * SHARE).alias("n")).filter(F.col("n") > part_windows)
+    many = work.stage(many.select("anchor", F.ceil(F.log2(F.col("n") / part_windows)).cast("int").alias("bits")), "many")
+    least, total = 1, 0
+    for bits, n in sorted(((r["bits"], r["count"]) for r in many.groupBy("bits").count().collect()), reverse=True):
+        total += n
+        if total > SPLIT_ANCHORS:
+            least = bits + 1
+            break
+    table = many.filter(F.col("bits") >= least).toArrow()
+    if not table.num_rows:
+        return None
+    keys, bits = table.column("anchor").to_numpy().view(np.uint64), table.column("bits").to_numpy().astype(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], bits[order]
+
+
+def _spread(runs: DataFrame, split: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
+    """The runs with ``steps``; those of an anchor that is split under a key for each part, which takes its place.
+
+    ``steps`` are the windows' distances from ``at``, empty if they are consecutive. A key is the anchor and the part
+    mixed, so key and hash still tell windows apart by 128 bits.
+    """
+    if split is None:
+        return runs.withColumn("steps", F.lit(b""))
+    shared = runs.sparkSession.sparkContext.broadcast(split)
+
+    def emit(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            known, known_bits = shared.value
+            windows, lengths = unpacked(column_of(batch, "hashes"), "<u8")
+            anchor = np.asarray(column_of(batch, "anchor")).view(np.uint64)
+            place = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+            bits = np.repeat(np.where(known[place] == anchor, known_bits[place], np.uint64(0)), lengths)
+            # A shift by 64 is undefined, so bits of 0 are shifted in two steps.
+            part = (windows >> np.uint64(1)) >> (np.uint64(63) - bits)
+            key = np.repeat(anchor, lengths) ^ mix64(part)
+            run = np.repeat(np.arange(len(lengths)), lengths)
+            step = np.arange(len(windows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            order = np.lexsort((step, part, run))
+            windows, key, run, step = windows[order], key[order], run[order], step[order]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (run[1:] != run[:-1]) | (key[1:] != key[:-1])
+            starts = np.flatnonzero(new)
+            sizes = np.diff(np.append(starts, len(order)))
+            first = step[starts]
+            gaps = step[starts + sizes - 1] - first != sizes - 1
+            kept = (step - np.repeat(first, sizes))[np.repeat(gaps, sizes)].astype(np.int32)
+            doc, at = (np.asarray(column_of(batch, c))[run[starts]] for c in ("doc_id", "at"))
+            arrays = [pa.array(key[starts].view(np.int64)), pa.array(doc), pa.array((at + first).astype(np.int32))]
+            arrays += [packed(windows, sizes), packed(kept, np.where(gaps, sizes, 0))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "doc_id", "at", "hashes", "steps"])
+
+    return runs.select("anchor", "doc_id", "at", "hashes").mapInArrow(emit, _RUNS + ", steps binary")
+
+
 def _reduced(anchor: np.ndarray, window: np.ndarray, first: np.ndarray, twice: np.ndarray):
     """One entry for each window: its smallest document, and whether more than one has it; sorted by anchor and window."""
     order = np.lexsort((first, window, anchor))
@@ -279,7 +362,7 @@ def first_documents(runs: DataFrame) -> DataFrame:
             yield _as_rows(*_reduced(*(np.concatenate(x) for x in zip(*held, strict=True))))
 
     def merge(batches):
-        for rows in whole_groups(batches, "anchor"):
+        for rows in whole_groups(batches, "anchor", size_bytes=GROUP_BYTES):
             windows, lengths = unpacked(rows.column("windows"), "<u8")
             firsts, _ = unpacked(rows.column("firsts"), "<i8")
             twice, _ = unpacked(rows.column("twice"), "u1")
@@ -294,7 +377,13 @@ def first_documents(runs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, work, width: int = WIDTH, anchor: int = ANCHOR, depth: int = DEPTH, sketch_bytes: int = SKETCH_BYTES
+    docs: DataFrame,
+    work,
+    width: int = WIDTH,
+    anchor: int = ANCHOR,
+    depth: int = DEPTH,
+    sketch_bytes: int = SKETCH_BYTES,
+    part_windows: int = PART_WINDOWS,
 ) -> DataFrame:
     """``doc_id, a, b``: spans of words under windows that also start in a document with a smaller id."""
     # One anchor in about (width - anchor + 2) / 2 windows, and a word has about six bytes.
@@ -307,15 +396,22 @@ def repeated_spans(
     else:
         runs = _runs_by_join(docs, work.stage(repeated, "cells"), width, anchor, depth, n_cells)
     runs = work.stage(runs, "runs")
+    runs = _spread(runs, _split_anchors(runs, work, part_windows))
 
     def spans(batches):
         for batch in batches:
-            rows = (column_of(batch, c).to_pylist() for c in ("doc_id", "at", "hashes", "windows", "firsts"))
+            rows = (column_of(batch, c).to_pylist() for c in ("doc_id", "at", "hashes", "steps", "windows", "firsts"))
             doc, start, end = [], [], []
-            for doc_id, at, hashes, windows, firsts in zip(*rows, strict=True):
+            for doc_id, at, hashes, steps, windows, firsts in zip(*rows, strict=True):
                 own, known = np.frombuffer(hashes, "<u8"), np.frombuffer(windows, "<u8")
                 place = np.minimum(np.searchsorted(known, own), len(known) - 1)
                 hit = (known[place] == own) & (np.frombuffer(firsts, "<i8")[place] < doc_id)
+                if steps:
+                    for a in (np.frombuffer(steps, "<i4")[hit] + at).tolist():
+                        doc.append(doc_id)
+                        start.append(a)
+                        end.append(a + width)
+                    continue
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
                 for a, b in zip((edges[::2] + at).tolist(), (edges[1::2] + at + width - 1).tolist(), strict=True):
                     doc.append(doc_id)
@@ -357,7 +453,7 @@ def without_repeats(
     spans = repeated_spans(docs, work, width, anchor, depth, sketch_bytes)
     # A document's spans are at most as many as its words.
     marks = work.stage(spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("_spans")), "marks")
-    work.drop("runs", "firsts", "cells")
+    work.drop("runs", "firsts", "cells", "many")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
     def remove(batches):

@@ -7,10 +7,13 @@ import random
 
 import pytest
 
+from plumbline.llm import substrings
 from plumbline.llm.automaton import ItemAutomaton
 from plumbline.llm.decontamination import contamination, decontaminated, find_hits, folded_words
 from plumbline.llm.substrings import without_repeats
 
+from .conftest import prose
+
 
 def brute_hits(words, items, width):
     hit, names = set(), set()
@@ -104,3 +107,23 @@ def test_repeats_of_edge_rows(edge_docs, edge_rows, no_docs):
     kept = {r.doc_id: r.kept_text for r in got.collect()}
     assert kept[106] == "one two" and kept[101] == ""
     assert without_repeats(no_docs).count() == 0
+
+
+def test_a_short_line_in_many_documents_is_no_large_group(make_docs, monkeypatch):
+    """A line between other words each time: its anchor has many different windows, which must not meet in one row."""
+    rng = random.Random(9)
+    line = " ".join(f"licence{i}" for i in range(49))
+    texts = [f"{prose(rng, 60, 5_000)} {line} {prose(rng, 60, 5_000)}" for _ in range(300)]
+    texts = [t for t in texts for _ in range(2)]
+    longest = []
+    first_documents = substrings.first_documents
+
+    def watched(runs):
+        firsts = first_documents(runs)
+        longest.append(firsts.selectExpr("max(octet_length(windows)) DIV 8").first()[0])
+        return firsts
+
+    monkeypatch.setattr(substrings, "first_documents", watched)
+    got = got_repeats(without_repeats(make_docs(texts)))
+    assert got == brute_repeats(list(enumerate(texts)), 50)
+    assert longest[0] < 3 * 512
