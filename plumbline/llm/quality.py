@@ -8,8 +8,11 @@ smallest determinant, and a row is rejected if its Mahalanobis distance under th
 * A concentration step is one aggregate. Rows are summed by group and by the bin of their log distance; a cumulative
   sum over at most MAX_BINS bins of a group finds the share nearest the centre, and the sums of those bins give the
   next mean and covariance. No group is ever gathered, so a group with a third of all rows costs its partial sums.
-* The start is deterministic: medians, and median absolute deviations, of each measure.
-* Variances have a floor, since most texts have no symbols or repeated lines and their covariance would be singular.
+* The starts are deterministic: medians and median absolute deviations of each measure; the half of the rows nearest to
+  them; all rows. They are improved side by side, and each group takes the one with the smallest determinant.
+* The estimate is then reweighted: means and covariances of all rows within the REWEIGHT_QUANTILE of the distances.
+* Shares are skewed and mostly zero, so they enter as log(1 + share / unit). Variances have a floor, about what a few
+  words or symbols more or less make out, since the covariance of a group without any would be singular.
 """
 
 from __future__ import annotations
@@ -30,19 +33,26 @@ SUPPORT = 0.75
 STEPS = 4
 MIN_GROUP = 50
 #: A row is rejected beyond this quantile of the chi-squared distribution of squared distances.
-CUTOFF_QUANTILE = 1 - 1e-9
+CUTOFF_QUANTILE = 0.999
+#: Rows within this quantile make the reweighted estimate; times it is made.
+REWEIGHT_QUANTILE = 0.975
+REWEIGHTS = 2
 MAX_BINS = 4096
 
 #: Name and floor of the standard deviation of each transformed measure.
 FEATURES = {
-    "log_words": 0.35,
-    "log_word_length": 0.08,
-    "symbol_rate": 0.03,
-    "dup_line_rate": 0.12,
-    "repeat_rate": 0.06,
+    "log_words": 0.05,
+    "log_word_length": 0.05,
+    "symbol_rate": 0.3,
+    "dup_line_rate": 0.3,
+    "repeat_rate": 0.3,
 }
+#: Units of the shares; lines added to a text's own, so that one repeated line of three is no large share.
+UNITS = {"symbol_rate": 0.02, "dup_line_rate": 0.1, "repeat_rate": 0.05}
+MORE_LINES = 3
 _F = list(FEATURES)
 _P = len(_F)
+_ESTIMATE = [*[f"m_{i}" for i in range(_P)], *[f"w_{i}_{j}" for i in range(_P) for j in range(i + 1)]]
 
 
 def _let(value: Column, body) -> Column:
@@ -129,9 +139,10 @@ def _features(table: DataFrame) -> DataFrame:
         "log_words": F.log1p(F.col("n_words")),
         "log_word_length": F.log(chars / at_least_one),
         "symbol_rate": F.col("n_symbols") / chars,
-        "dup_line_rate": F.col("n_dup_lines") / F.greatest(F.lit(1), F.col("_n_lines")),
+        "dup_line_rate": F.col("n_dup_lines") / (F.col("_n_lines") + MORE_LINES),
         "repeat_rate": F.col("n_repeat_words") / at_least_one,
     }
+    values |= {k: F.log1p(values[k] / unit) for k, unit in UNITS.items()}
     return table.withColumns({k: v.cast("double") for k, v in values.items()})
 
 
@@ -158,7 +169,7 @@ def chi2_quantile(p: float, k: int) -> float:
 
 
 def _whitening(table: DataFrame) -> DataFrame:
-    """From means ``m_i`` and covariances ``c_ij`` to ``w_ij``, the inverse of the Cholesky factor."""
+    """From means ``m_i`` and covariances ``c_ij`` to ``w_ij``, the inverse of the Cholesky factor; and the determinant."""
     for i in range(_P):
         for j in range(i + 1):
             left = F.col(f"c_{i}_{j}")
@@ -177,7 +188,10 @@ def _whitening(table: DataFrame) -> DataFrame:
                 value = value / F.col(f"l_{i}_{i}")
             table = table.withColumn(f"w_{i}_{j}", value)
     return table.select(
-        "_g", *[f"m_{i}" for i in range(_P)], *[f"w_{i}_{j}" for i in range(_P) for j in range(i + 1)]
+        "_g",
+        "_s",
+        *_ESTIMATE,
+        sum((F.log(f"l_{i}_{i}") for i in range(_P)), F.lit(0.0)).alias("_log_det"),
     )
 
 
@@ -209,48 +223,70 @@ def _start(rows: DataFrame, work) -> DataFrame:
     )
 
 
-def _step(rows: DataFrame, estimate: DataFrame, support: float) -> DataFrame:
-    """One concentration step: means and covariances of the ``support`` share of rows nearest the estimate."""
+def _sums() -> dict[str, Column]:
+    """What means and covariances are made of."""
     sums = {"_n": F.count("*").cast("double")}
     sums |= {f"s_{i}": F.sum(_F[i]) for i in range(_P)}
-    sums |= {f"q_{i}_{j}": F.sum(F.col(_F[i]) * F.col(_F[j])) for i in range(_P) for j in range(i + 1)}
+    return sums | {f"q_{i}_{j}": F.sum(F.col(_F[i]) * F.col(_F[j])) for i in range(_P) for j in range(i + 1)}
+
+
+def _moments(total: DataFrame, share: float) -> DataFrame:
+    """Means and covariances from sums over the ``share`` of rows nearest the centre."""
+    consistency = share / chi2_cdf(chi2_quantile(share, _P), _P + 2) if share < 1 else 1.0
+    means = total.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("_n") for i in range(_P)})
+    return means.withColumns(
+        {
+            f"c_{i}_{j}": (F.col(f"q_{i}_{j}") / F.col("_n") - F.col(f"m_{i}") * F.col(f"m_{j}")) * consistency
+            + (FEATURES[_F[i]] ** 2 if i == j else 0.0)
+            for i in range(_P)
+            for j in range(i + 1)
+        }
+    )
+
+
+def _step(rows: DataFrame, estimate: DataFrame, support: float) -> DataFrame:
+    """One concentration step of every start: means and covariances of the ``support`` share of rows nearest the estimate."""
+    sums = _sums()
     bins = F.floor(F.log(_distance() + 1e-6) * 64).cast("int")
     low, high = -14 * 64, -14 * 64 + MAX_BINS - 1
     by_bin = (
         rows.join(estimate, "_g")
         .withColumn("_bin", F.least(F.greatest(bins, F.lit(low)), F.lit(high)))
-        .groupBy("_g", "_bin")
+        .groupBy("_g", "_s", "_bin")
         .agg(*[v.alias(k) for k, v in sums.items()])
     )
-    group = Window.partitionBy("_g")
+    group = Window.partitionBy("_g", "_s")
     upto = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     # The bins up to the one in which the share is reached.
     inside = by_bin.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0.0))).withColumn(
         "_all", F.sum("_n").over(group)
     )
-    total = inside.filter(F.col("_before") < support * F.col("_all")).groupBy("_g").agg(
+    total = inside.filter(F.col("_before") < support * F.col("_all")).groupBy("_g", "_s").agg(
         *[F.sum(k).alias(k) for k in sums]
     )
-    radius = chi2_quantile(support, _P)
-    consistency = support / chi2_cdf(radius, _P + 2)
-    means = total.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("_n") for i in range(_P)})
-    return means.withColumns(
-        {
-            f"c_{i}_{j}": (F.col(f"q_{i}_{j}") / F.col("_n") - F.col(f"m_{i}") * F.col(f"m_{j}")) * consistency
-            + (FEATURES[_F[i]] ** 2 if i == j else 0.0)
-            for i in range(_P)
-            for j in range(i + 1)
-        }
-    )
+    return _moments(total, support)
+
+
+def _reweighted(rows: DataFrame, estimate: DataFrame, quantile: float) -> DataFrame:
+    """Means and covariances of the rows within the ``quantile`` of the distances from the estimate."""
+    near = rows.join(estimate, "_g").filter(_distance() <= chi2_quantile(quantile, _P))
+    return _moments(near.groupBy("_g", "_s").agg(*[v.alias(k) for k, v in _sums().items()]), quantile)
 
 
 def estimates(table: DataFrame, work, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """The estimate of each group of ``table`` (with ``_g`` and the features); written at each step."""
     rows = table.filter(~F.col("base_failed")).select("_g", *_F)
-    estimate = work.stage(_whitening(_start(rows, work)), "estimate")
+    first = work.stage(_whitening(_start(rows, work).withColumn("_s", F.lit(0))), "estimate")
+    half = _whitening(_step(rows, first, 0.5)).withColumn("_s", F.lit(1))
+    every = rows.groupBy("_g").agg(*[v.alias(k) for k, v in _sums().items()]).withColumn("_s", F.lit(2))
+    estimate = work.stage(first.unionByName(half).unionByName(_whitening(_moments(every, 1.0))), "estimate")
     for _ in range(steps):
         estimate = work.stage(_whitening(_step(rows, estimate, support)), "estimate")
-    return estimate
+    best = F.min_by(F.struct("_s", *_ESTIMATE), F.struct("_log_det", "_s"))
+    estimate = estimate.groupBy("_g").agg(best.alias("_best")).select("_g", "_best.*")
+    for _ in range(REWEIGHTS):
+        estimate = work.stage(_whitening(_reweighted(rows, estimate, REWEIGHT_QUANTILE)), "estimate")
+    return estimate.drop("_s", "_log_det")
 
 
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

@@ -215,6 +215,30 @@ def test_outliers_go_and_others_stay(make_docs, edge_docs):
     assert of_quality(edge_docs).columns == edge_docs.columns
 
 
+def test_moderate_outliers_of_one_measure_go(make_docs):
+    """Each differs in one measure: symbols, repeated lines, longer or shorter words, number of words."""
+    rng = random.Random(16)
+    texts = [prose(rng, int(math.exp(rng.gauss(5, 0.4))), 4000) for _ in range(500)]
+    lines = [f"line{i}" for i in range(12)]
+    planted = {
+        3: lambda w: " ".join(x + "#" if i % 4 else x for i, x in enumerate(w)),
+        13: lambda w: "\n".join(rng.choice(lines) for _ in range(60)),
+        23: lambda w: " ".join(x + "abcd" for x in w),
+        33: lambda w: " ".join(x[:2] + x[-1:] for x in w),
+        43: lambda w: prose(rng, 1300, 40_000),
+        53: lambda w: "\n".join(x for i, x in enumerate(w) for x in ([x, x] if i % 2 else [x])),
+    }
+    for start, change in planted.items():
+        for i in range(start, 500, 100):
+            texts[i] = change(texts[i].split())
+    verdicts = quality_verdicts(make_docs(texts)).collect()
+    want = {i for i in range(500) if i % 100 in planted}
+    assert not [r.doc_id for r in verdicts if r.doc_id in want and r.base_failed]
+    gone = {r.doc_id for r in verdicts if not r.kept}
+    assert want <= gone
+    assert len(gone - want) <= 5
+
+
 def test_few_rows_have_no_estimate(make_docs):
     rng = random.Random(8)
     rows = quality_verdicts(make_docs([prose(rng, 50) for _ in range(10)] + ["short"])).collect()
