@@ -5,8 +5,7 @@ SAMPLE_ROWS documents whose words are labelled by the base patterns, once as the
 patterns hinge on taken away or replaced (``name at host dot org``, a number without its plus), so that it learns how such
 data look rather than one spelling. Its spans are added to the base spans, which stay.
 
-Decoding is Viterbi over all lines of a piece of documents at a time. A span must have a word with a digit or an at sign,
-by the model's own constraint on labels, so lines without either have one possible labelling, all outside.
+Decoding is Viterbi over all lines of a piece of documents at a time, whatever signs they have.
 """
 
 from __future__ import annotations
@@ -35,6 +34,8 @@ PATTERNS = {
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 20_000
 SEED = 31
+#: Lines without data that a text gives to the labelled table, at most.
+PLAIN_LINES = 20
 #: Words that are decoded together, at least.
 WORDS_AT_ONCE = 60_000
 
@@ -109,30 +110,28 @@ def _shape(word: str) -> tuple[int, int, int, int, int]:
 
 
 def _featured(words: list[str], lengths: np.ndarray, shapes: Remembered) -> np.ndarray:
-    """Own features of every word, and shape and digits of its neighbours in the line."""
+    """Own features of every word, and shape, digits and short spelling of its neighbours in the line."""
     own = np.array([shapes[w] for w in words], dtype=np.int64).reshape(-1, 5)
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     ends = np.cumsum(lengths) - 1
     columns = [own[:, i] for i in range(5)]
     for step, edge in ((1, begins), (-1, ends)):
-        for kind in (0, 1):
+        for place, kind in enumerate((0, 1, 3)):
             moved = np.roll(own[:, kind], step)
             moved[edge] = 0
             # Neighbours' features live in buckets of their own.
-            columns.append((1 + kind + 2 * (step < 0)) * _BUCKETS + moved)
+            columns.append((1 + place + 3 * (step < 0)) * _BUCKETS + moved)
     return np.stack(columns, axis=1)
 
 
-def _candidate_lines(text: str) -> list[tuple[int, int]]:
-    """Lines that have a digit or an at sign, as (start, end)."""
-    out, last = [], -1
-    for m in re.finditer(r"[0-9@]", text):
-        if m.start() < last:
-            continue
-        start = text.rfind("\n", 0, m.start()) + 1
-        end = text.find("\n", m.start())
-        last = len(text) if end < 0 else end
-        out.append((start, last))
+def _lines(text: str) -> list[tuple[int, int]]:
+    """All lines as (start, end)."""
+    out, start = [], 0
+    while start <= len(text):
+        end = text.find("\n", start)
+        end = len(text) if end < 0 else end
+        out.append((start, end))
+        start = end + 1
     return out
 
 
@@ -186,13 +185,18 @@ def allowed_transitions() -> np.ndarray:
 
 
 def labelled_lines(texts: list[str]) -> tuple[list[list[str]], list[list[int]]]:
-    """The small labelled table: words and labels of each line with signs of data, as given and varied."""
+    """The small labelled table: words and labels of each line with data, as given and varied, and of some others."""
     lines, labels = [], []
     for text in texts:
         spans = base_spans(text)
         for body, marks in ((text, spans), _varied(text, spans)):
-            for start, end in _candidate_lines(body) if body else []:
+            plain = 0
+            for start, end in _lines(body):
                 own = [s for s in marks if start <= s[1] < end]
+                # Of lines without data, which are alike in both, the first ones of the text as given.
+                plain += not own
+                if not own and (body is not text or plain > PLAIN_LINES):
+                    continue
                 words = _words_of(body, start, end)
                 if not words:
                     continue
@@ -225,20 +229,22 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> cr
     features = _featured([w for line in lines for w in line], lengths, shapes)
     gold = np.array([y for line in labels for y in line])
     start_free = allowed_transitions()
-    model = crf.train(features, lengths, gold, LABELS, start_free, 5 * _BUCKETS)
+    model = crf.train(features, lengths, gold, LABELS, start_free, 7 * _BUCKETS)
     model.start[[2 + 2 * k for k in range(len(KINDS))]] = -1e4
     return model
 
 
 def model_spans(texts: list[str], model: crf.Crf, shapes: Remembered) -> list[list[tuple[str, int, int]]]:
-    """Spans of every text by Viterbi over its lines with signs of data, many lines at a time."""
+    """Spans of every text by Viterbi over all its lines, many at a time."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     owners: list[int] = []
     words: list[tuple[int, int]] = []
     lengths: list[int] = []
     for i, text in enumerate(texts):
-        for start, end in _candidate_lines(text):
+        for start, end in _lines(text):
             own = _words_of(text, start, end)
+            if not own:
+                continue
             owners.append(i)
             words += own
             lengths.append(len(own))
@@ -251,7 +257,7 @@ def model_spans(texts: list[str], model: crf.Crf, shapes: Remembered) -> list[li
 
 
 def _decode(texts, owners, words, lengths, model, shapes, out) -> None:
-    """Add the spans of some lines; a span without a digit or an at sign is none."""
+    """Add the spans of some lines."""
     sizes = np.array(lengths)
     owner = np.repeat(owners, sizes)
     spelled = [texts[i][a:b] for i, (a, b) in zip(owner.tolist(), words, strict=True)]
@@ -268,8 +274,7 @@ def _decode(texts, owners, words, lengths, model, shapes, out) -> None:
         else:
             found[-1][3] = words[at][1]
     for i, kind, a, b in found:
-        if re.search(r"[0-9@]", texts[i][a:b]):
-            out[i].append((kind, a, b))
+        out[i].append((kind, a, b))
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:

@@ -95,6 +95,24 @@ def test_model_finds_held_out_data(make_docs, model):
     assert plain.filter("n_added > 0").isEmpty()
 
 
+def test_model_finds_spelled_out_addresses(make_docs):
+    """Without a digit or an at sign in the line."""
+    rng = random.Random(78)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 9))) for _ in range(600)]
+    draw = lambda n: " ".join(rng.choice(names) for _ in range(n))
+    own = lambda at, dot: f"{draw(1)}{dot}{draw(1)}{at}{draw(1)}{dot}org"
+    model = fit(make_docs([f"{draw(9)} at {draw(3)}\n{draw(12)} {own('@', '.')} {draw(12)}" for _ in range(200)]))
+    texts, gold = [], []
+    for _ in range(100):
+        address, before = own(" at ", " dot "), draw(12)
+        texts.append(f"{before} {address} {draw(12)}")
+        gold.append((len(before) + 1, len(before) + 1 + len(address)))
+    rows = {r.doc_id: r for r in personal_data(make_docs(texts), model).collect()}
+    assert sum(f"email:{a}:{b}" in rows[i].spans.split(",") for i, (a, b) in enumerate(gold)) >= 80
+    plain = personal_data(make_docs([f"{draw(20)} at {draw(20)}" for _ in range(50)]), model)
+    assert plain.filter("n_added > 0").count() <= 2
+
+
 def test_base_spans_stay(make_docs, model, edge_docs, edge_rows, no_docs):
     texts = labelled_texts(random.Random(6), 40) + [None, ""]
     for r in personal_data(make_docs(texts), model).collect():
