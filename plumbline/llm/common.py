@@ -13,7 +13,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.sources.workspace import Workspace
 
@@ -159,6 +160,57 @@ def whole_groups(
         yield pa.Table.from_batches(held)
 
 
+def ranked(df: DataFrame, key: str, order: list[str], work) -> DataFrame:
+    """``df`` with ``_k``, the row's place from 0 on among the rows of its ``key`` in ``order`` (nulls first, null keys equal).
+
+    Rows are range-partitioned by key and order, so that a key with most of the rows spreads over tasks like any other.
+    Each task numbers the runs it holds; what the run at its beginning has in earlier tasks is added from a table
+    of one row per task.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_k", T.LongType())])
+
+    def number(batches):
+        part, last, seen = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            column = column_of(batch, key)
+            null = np.asarray(column.is_null())
+            ids = pc.fill_null(column, 0).to_numpy(zero_copy_only=False)
+            starts = np.zeros(n, dtype=np.int64)
+            change = np.flatnonzero((ids[1:] != ids[:-1]) | (null[1:] != null[:-1])) + 1
+            starts[change] = change
+            places = np.arange(n) - np.maximum.accumulate(starts)
+            if (ids[0], null[0]) == last:
+                places[: change[0] if len(change) else n] += seen
+            last, seen = (ids[-1], null[-1]), int(places[-1]) + 1
+            arrays = [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(places)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    in_order = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    rows = work.stage(in_order.mapInArrow(number, schema), "ranked")
+    named = [F.col(key).isNotNull().alias("has"), F.col(key).alias("id")]
+    edges = rows.groupBy("_part").agg(
+        F.min(F.struct(*named)).alias("first"), F.max(F.struct(*named, F.col("_k").alias("k"))).alias("last")
+    )
+    before, last, seen = [], None, 0
+    for r in sorted(edges.collect(), key=lambda r: r["_part"]):
+        first, end = tuple(r["first"]), (r["last"]["has"], r["last"]["id"])
+        more = seen if first == last else 0
+        if more:
+            before.append((r["_part"], *first, more))
+        seen = r["last"]["k"] + 1 + (more if first == end else 0)
+        last = end
+    if not before:
+        return rows.drop("_part")
+    table = df.sparkSession.createDataFrame(before, "_part int, _has boolean, _id long, _more long")
+    own = (F.col(key).isNotNull() == F.col("_has")) & F.col(key).eqNullSafe(F.col("_id"))
+    place = F.col("_k") + F.when(own, F.col("_more")).otherwise(0)
+    # One row per task at most.
+    return rows.join(F.broadcast(table), "_part", "left").withColumn("_k", place).select(*df.columns, "_k")
+
+
 def packed(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """Binary values: the bytes of ``data`` cut into pieces of ``lengths`` items."""
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64) * data.itemsize

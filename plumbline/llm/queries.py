@@ -73,7 +73,28 @@ def op10_log_bloom(spark, sf_dir):
     return scored(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rans_token_file, op2_suffix_automaton, op3_count_min_windows, op4_length_histogram, op5_chosen_path_join, op6_crf_personal_data, op7_temperature_mixing, op8_stratified_interleaving, op9_robust_outliers, op10_log_bloom)}
+def op13_trie_node_pairs(spark, sf_dir):
+    from plumbline.llm.spelling import spelling_variants
+
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_rans_token_file,
+        op2_suffix_automaton,
+        op3_count_min_windows,
+        op4_length_histogram,
+        op5_chosen_path_join,
+        op6_crf_personal_data,
+        op7_temperature_mixing,
+        op8_stratified_interleaving,
+        op9_robust_outliers,
+        op10_log_bloom,
+        op13_trie_node_pairs,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_automaton": r"""
@@ -129,5 +150,48 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op13_trie_node_pairs": r"""
+WITH digits AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), runs AS (
+  SELECT run, doc_id, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS found FROM documents
+  ), LATERAL (SELECT translate(found, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run)
+  WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+      string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END))),
+    lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295) AS h
+  FROM runs, digits
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cuts AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(best.n_near, 0) AS n_near,
+         CASE WHEN top >= 2 * w.n THEN (SELECT min(other) FROM near WHERE near.word = w.word AND other_n = top) END AS form,
+         CASE WHEN top >= 2 * w.n THEN top END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chains AS (
+  WITH RECURSIVE c(word, place) AS (
+    SELECT word, word FROM forms
+    UNION ALL SELECT c.word, forms.form FROM c JOIN forms ON forms.word = c.place WHERE forms.form IS NOT NULL
+  ) SELECT c.word, c.place FROM c JOIN forms ON forms.word = c.place WHERE forms.form IS NULL
+)
+SELECT word, form, chains.place AS root, n, n_near, form_n FROM forms JOIN chains USING (word)
 """,
 }
