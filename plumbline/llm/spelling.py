@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.llm.common import column_of, packed, scratch, text_or_empty, unpacked
+from plumbline.llm.common import column_of, scratch, text_or_empty, unpacked
 
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
 LEAST_LETTERS = 5
