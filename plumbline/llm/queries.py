@@ -73,6 +73,12 @@ def op10_log_bloom(spark, sf_dir):
     return scored(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_parentheses(spark, sf_dir):
+    from plumbline.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_event_fold(spark, sf_dir):
     from plumbline.llm.chat import chat_digests, write_chats
     from plumbline.llm.common import scratch
@@ -102,6 +108,7 @@ QUERIES = {
         op8_stratified_interleaving,
         op9_robust_outliers,
         op10_log_bloom,
+        op11_prefix_parentheses,
         op12_event_fold,
         op13_trie_node_pairs,
     )
@@ -204,6 +211,43 @@ WITH digits AS (
   ) SELECT c.word, c.place FROM c JOIN forms ON forms.word = c.place WHERE forms.form IS NULL
 )
 SELECT word, form, chains.place AS root, n, n_near, form_n FROM forms JOIN chains USING (word)
+""",
+    "op11_prefix_parentheses": r"""
+WITH steps AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda x: CAST(unicode(x) AS BIGINT))), lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295) % 4 AS h
+  FROM own, steps
+), made AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS turns
+  FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20
+), members AS (
+  SELECT conv_id, len(turns) AS length, d AS depth, md5(CAST(to_json(turns[1:d]) AS VARCHAR)) AS node,
+         CASE WHEN d > 0 THEN md5(CAST(to_json(turns[1:d - 1]) AS VARCHAR)) END AS parent,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(turns[d].t, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM made)
+), nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = length), '')) AS ends_sha256
+  FROM members GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY ALL
+), above AS (
+  SELECT n.node AS below, m.node, m.depth FROM nodes n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+), sums AS (
+  SELECT above.node, above.depth, CAST(sum(b.saved) AS BIGINT) AS saved_tokens,
+         CAST(count(*) FILTER (WHERE c.n_children IS NULL) AS BIGINT) AS n_leaves
+  FROM above JOIN nodes b ON b.node = above.below LEFT JOIN children c ON c.node = b.node GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(c.n_children, 0) AS BIGINT) AS n_children,
+       s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node
 """,
     "op12_event_fold": r"""
 WITH c AS (
