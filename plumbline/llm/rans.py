@@ -112,10 +112,34 @@ def encode(blocks: list[np.ndarray], table: Table, lanes: int = LANES) -> list[B
     return result
 
 
+_DAMAGED = "a block of token ids does not match its checksum"
+
+
+def _check(block: Block, lanes: int, table: Table) -> None:
+    """What a decoder relies on before it has ids to check: sizes that fit, states in range, places inside the stream."""
+    segments = -(-(-(-block.n_tokens // lanes)) // CHECKPOINT_STEPS)
+    sound = (
+        block.lanes == lanes
+        and block.n_tokens >= 0
+        and block.states.shape == (segments, lanes)
+        and len(block.offsets) == segments
+        and (not segments or len(table.symbols))
+        and bool(((block.states >= _LOW) & (block.states < _LOW << _WORD)).all())
+        and bool(((block.offsets >= 0) & (block.offsets <= len(block.words))).all())
+    )
+    if not sound:
+        raise ValueError(_DAMAGED)
+
+
 def decode(blocks: list[Block], table: Table, places: np.ndarray | None = None) -> list[np.ndarray]:
-    """The ids of each block, checked against its crc32; all blocks have the same number of lanes."""
+    """The ids of each block, checked against its crc32; all blocks have the same number of lanes.
+
+    Any damage to a block (its words, states, places, sizes or checksum) raises ValueError.
+    """
     if not blocks:
         return []
+    for b in blocks:
+        _check(b, blocks[0].lanes, table)
     places = table.places() if places is None else places
     lanes = blocks[0].lanes
     freqs, starts = table.freqs.astype(np.uint64), table.starts().astype(np.uint64)
@@ -127,6 +151,7 @@ def decode(blocks: list[Block], table: Table, places: np.ndarray | None = None)
         state = np.concatenate([b.states for b in blocks if len(b.states)])
         at = np.concatenate([b.offsets + o for b, o in zip(blocks, base, strict=True)]).astype(np.int64)
         stream = np.concatenate([*[b.words for b in blocks], np.zeros(1, np.uint32)]).astype(np.uint64)
+        ends = np.repeat(base + [len(b.words) for b in blocks], segments)[:, None]
         left = []
         for b in blocks:
             tokens = b.n_tokens - np.arange(len(b.states)) * CHECKPOINT_STEPS * lanes
@@ -148,10 +173,16 @@ def decode(blocks: list[Block], table: Table, places: np.ndarray | None = None)
             if need.any():
                 order = np.cumsum(need, axis=1)
                 place = at[:, None] + order - 1
+                if (need & (place >= ends)).any():
+                    raise ValueError(_DAMAGED)
                 fresh = (after << _WORD) | stream[np.where(need, place, len(stream) - 1)]
                 after = np.where(need, fresh, after)
                 at = at + order[:, -1]
             state = np.where(live, after, state)
+        # A segment ends where the next one begins, the last one in the state that the coder began with.
+        final = [x for b in blocks if len(b.states) for x in (b.states[1:], np.full((1, lanes), _LOW))]
+        if not np.array_equal(state, np.concatenate(final)):
+            raise ValueError(_DAMAGED)
         ids = table.symbols[found.transpose(1, 0, 2)] if len(table.symbols) else found.transpose(1, 0, 2)
     first = 0
     for b, n in zip(blocks, segments, strict=True):
@@ -159,6 +190,6 @@ def decode(blocks: list[Block], table: Table, places: np.ndarray | None = None)
         first += n
         ids_of = np.ascontiguousarray(ids_of, dtype="<u4")
         if zlib.crc32(ids_of.tobytes()) != b.crc32:
-            raise ValueError("a block of token ids does not match its checksum")
+            raise ValueError(_DAMAGED)
         out.append(ids_of)
     return out

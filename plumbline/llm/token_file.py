@@ -206,6 +206,8 @@ def read_tokens(spark: SparkSession, folder: str, digest_only: bool = False) ->
                 values = []
                 for r, ids in zip(rows, rans.decode(coded, table, places), strict=True):
                     at = 0
+                    if sum(r["lengths"]) != r["n_tokens"] or min(r["lengths"], default=0) < 0:
+                        raise ValueError("the lengths of a block's documents do not add up to its tokens")
                     raw = ids.tobytes()
                     for doc_id, n in zip(r["doc_ids"], r["lengths"], strict=True):
                         own = raw[4 * at : 4 * (at + n)]

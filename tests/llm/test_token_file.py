@@ -56,6 +56,52 @@ def test_a_flipped_word_is_noticed():
         rans.decode([coded], table)
 
 
+def damaged(block, what):
+    from dataclasses import replace
+
+    changed = {f: getattr(block, f).copy() for f in ("states", "offsets", "words")}
+    if what == "state":
+        changed["states"][1, 3] ^= np.uint64(1 << 20)
+    elif what == "state out of range":
+        changed["states"][0, 0] = 1
+    elif what == "offset":
+        changed["offsets"][1] += 7
+    elif what == "offset outside":
+        changed["offsets"][1] = 1 << 40
+    elif what == "truncated":
+        changed["words"] = changed["words"][:-9]
+    elif what == "fewer segments":
+        changed["states"], changed["offsets"] = changed["states"][:-1], changed["offsets"][:-1]
+    more = {"more tokens": {"n_tokens": block.n_tokens + 5}, "many more tokens": {"n_tokens": 1 << 40}, "crc": {"crc32": 7}}
+    return replace(block, **changed, **more.get(what, {"n_tokens": -1} if what == "negative" else {}))
+
+
+@pytest.mark.parametrize(
+    "what",
+    ["state", "state out of range", "offset", "offset outside", "truncated", "fewer segments", "more tokens", "many more tokens", "crc", "negative"],
+)
+def test_any_damage_is_a_checksum_error(what):
+    rng = np.random.default_rng(4)
+    blocks = [rng.integers(0, 3000, n) for n in (30_000, 20_000)]
+    table = rans.Table.of_counts(*np.unique(np.concatenate(blocks), return_counts=True))
+    first, second = rans.encode(blocks, table)
+    with pytest.raises(ValueError, match="checksum"):
+        rans.decode([damaged(first, what), second], table)
+    with pytest.raises(ValueError, match="checksum"):
+        rans.decode([first, damaged(second, what)], table)
+
+
+def test_every_flipped_word_is_noticed():
+    block = np.random.default_rng(0).integers(0, 50, 3000)
+    table = rans.Table.of_counts(*np.unique(block, return_counts=True))
+    coded = rans.encode([block], table)[0]
+    for i in range(0, len(coded.words), 7):
+        coded.words[i] ^= 1 << (i % 32)
+        with pytest.raises(ValueError, match="checksum"):
+            rans.decode([coded], table)
+        coded.words[i] ^= 1 << (i % 32)
+
+
 def test_more_symbols_than_the_least_scale():
     symbols = np.arange(100_000)
     table = rans.Table.of_counts(symbols, np.ones(100_000))
