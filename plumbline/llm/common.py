@@ -8,6 +8,8 @@ because callers' frames are projected to the needed columns first.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -56,6 +58,13 @@ def stratum_key(*columns: str) -> Column:
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)]))
 
 
+def give_back() -> None:
+    """Workers serve many tasks: what Arrow and the allocator no longer use goes back to the system when one ends."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(
     batches: Iterable[pa.RecordBatch], column: str = "text", size_limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -75,8 +84,7 @@ def pieces(
                 total, start = 0, i
             total += size
         yield batch.slice(start)
-    # Workers serve many tasks; what Arrow no longer uses goes back to the system.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

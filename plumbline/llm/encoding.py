@@ -1,8 +1,9 @@
 """Token ids of whole texts with a tokenizers file, one white-space piece at a time.
 
 The tokenizer's rules never join text across white space, so the ids of a text are those of its pieces in order; most
-pieces recur, and a task remembers the ids of those it has seen in a table of bounded size. Whether a tokenizer file
-allows this is tested on its rules when it is loaded; if not, whole texts are encoded.
+pieces recur, and a task remembers the ids of those it has seen in a table of bounded size. A new piece of plain letters is one
+pre-token, so only the merges are left to do; any other new piece is encoded by itself. Whether a tokenizer file allows this is
+tested on its rules when it is loaded; if not, whole texts are encoded.
 """
 
 from __future__ import annotations
@@ -10,17 +11,21 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
+import sys
+from array import array
 
 import numpy as np
 
-from plumbline.llm.common import Remembered
-
 #: The piece rules under which white space always separates: nothing that matches spans it.
 _SEPARATING = {"Split", "ByteLevel"}
 
 #: Letters up to here have composed forms and lower cases of their own, whatever stands beside them.
 _PLAIN_LETTERS = "\u0180"
+#: Marks that no rule joins to the letters before them.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS_REMEMBERED = 10_000
+#: Pieces, and stems of pieces, that are remembered.
+REMEMBERED = 200_000
 
 
 def _byte_letters() -> list[str]:
@@ -30,27 +35,37 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+class Generations:
+    """A map whose size stays bounded: full, it becomes the older map, in which frequent keys are found again."""
+
+    def __init__(self):
+        self.young: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def trim(self, limit: int) -> None:
+        if len(self.young) > limit:
+            self.young, self.older = {}, self.young
+
+
 class PieceEncoder:
-    """``ids(text)`` as little-endian unsigned integers of ``dtype`` and ``count(text)`` of UTF-8 texts."""
+    """``ids(texts)`` as little-endian unsigned integers of ``dtype`` and ``counts(texts)`` of UTF-8 texts."""
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Ids are packed by the machine's byte order.
+        assert sys.byteorder == "little"
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.merge = self.tokenizer.model.tokenize
         rules = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"].encode() for t in rules["added_tokens"]]
         self.by_piece = self._separates(rules)
         self.letters = _byte_letters()
-        self.stems = Remembered(self._merged, limit)
-        self.marks = Remembered(self._encoded)
-        self.pieces = Remembered(self._piece, limit)
-        self.counts = Remembered(lambda piece: len(self._piece(piece)) // self.dtype.itemsize, limit)
+        self.stems, self.pieces, self.limit = Generations(), Generations(), limit
+        self.marks: dict[bytes, bytes] = {}
 
     def _separates(self, rules: dict) -> bool:
         """True if white space is dropped between pieces and lower case is the only rule that reaches over letters."""
@@ -68,39 +83,63 @@ class PieceEncoder:
             and not any(re.search(rb"\s", t) for t in self.specials)
         )
 
-    def _encoded(self, piece: bytes) -> bytes:
-        return self.pack(*self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
-
-    def pack(self, *ids: int) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def _merged(self, stem: str) -> bytes:
-        """Lower-case letters are one pre-token: only the merges are left to do."""
-        letters = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
-        return self.pack(*[t.id for t in self.merge(letters)])
-
-    def _piece(self, piece: bytes) -> bytes:
-        """A word of plain letters and a full stop or comma after it are separate pre-tokens: look both up."""
-        marked = len(piece) > 1 and piece[-1] in b".,"
-        stem = (piece[:-1] if marked else piece).decode()
-        if stem.isalpha() and max(stem) < _PLAIN_LETTERS and "\u0130" not in stem:
-            ids = self.stems[stem.lower()]
-            return ids + self.marks[piece[-1:]] if marked else ids
-        return self._encoded(piece)
-
-    def ids(self, text: bytes) -> bytes:
+    def _whole(self, text: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _stem(self, piece: bytes) -> bytes | None:
+        """The lower-case letters of a piece in the letters of the vocabulary, if it has only plain letters."""
+        if piece.isalpha():
+            return piece.lower()
+        text = piece.decode()
+        if text.isalpha() and max(text) < _PLAIN_LETTERS and "\u0130" not in text:
+            return "".join([self.letters[b] for b in text.lower().encode()]).encode()
+        return None
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Remember the ids of the words that are new. Marks after letters are a pre-token of their own."""
+        pieces, older_pieces = self.pieces.young, self.pieces.older
+        stems, older_stems = self.stems.young, self.stems.older
+        merge, code, marks = self.tokenizer.model.tokenize, "H" if self.dtype.itemsize == 2 else "I", self.marks
+        for word in set(words).difference(pieces):
+            ids = older_pieces.get(word)
+            if ids is None:
+                letters = word.rstrip(_MARKS)
+                stem = self._stem(letters)
+                if stem is None:
+                    ids = self._whole(word)
+                else:
+                    ids = stems.get(stem) or older_stems.get(stem)
+                    if ids is None:
+                        ids = array(code, [t.id for t in merge(stem.decode())]).tobytes()
+                    stems[stem] = ids
+                    if len(letters) < len(word):
+                        mark = word[len(letters) :]
+                        if mark not in marks:
+                            if len(marks) >= _MARKS_REMEMBERED:
+                                marks.clear()
+                            marks[mark] = self._whole(mark)
+                        ids += marks[mark]
+            pieces[word] = ids
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_piece:
-            return self._encoded(text)
-        return b"".join(map(self.pieces.__getitem__, text.split()))
-
-    def count(self, text: bytes) -> int:
-        if not self.by_piece:
-            return len(self._encoded(text)) // self.dtype.itemsize
-        return sum(map(self.counts.__getitem__, text.split()))
-
-    def trim(self) -> None:
-        for table in (self.stems, self.pieces, self.counts):
-            table.trim()
+            return [self._whole(text) for text in texts]
+        self.pieces.trim(self.limit)
+        self.stems.trim(self.limit)
+        split = [text.split() for text in texts]
+        self._learn([w for words in split for w in words])
+        known = self.pieces.young.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def counts(self, texts: list[bytes]) -> list[int]:
+        return [len(x) // self.dtype.itemsize for x in self.ids(texts)]
+
+    def forget(self) -> None:
+        """Give the memory of what is remembered back."""
+        self.pieces, self.stems, self.marks = Generations(), Generations(), {}
 
 
 _loaded: dict[str, PieceEncoder] = {}

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.llm.common import pieces, texts_of
+from plumbline.llm.common import give_back, pieces, texts_of
 from plumbline.llm.encoding import encoder
 
 
@@ -23,10 +23,13 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, groups: list[str]) -> DataF
 
     def count(batches):
         tokens = encoder(tokenizer)
-        for piece in pieces(batches):
-            tokens.trim()
-            n = np.fromiter(map(tokens.count, texts_of(piece)), dtype=np.int64, count=piece.num_rows)
-            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n)], names=[*groups, "n_tokens"])
+        try:
+            for piece in pieces(batches):
+                n = np.array(tokens.counts(texts_of(piece)), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n)], names=[*groups, "n_tokens"])
+        finally:
+            tokens.forget()
+            give_back()
 
     return wanted.mapInArrow(count, schema)
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from plumbline.llm import rans
-from plumbline.llm.common import column_of, pieces, scratch, texts_of
+from plumbline.llm.common import column_of, give_back, pieces, scratch, texts_of
 from plumbline.llm.encoding import encoder
 from plumbline.sources import storage
 
@@ -43,23 +43,36 @@ BLOCKS = T.StructType(
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id, n_tokens, width, ids``: the ids of each text and ``end_id``, in ``width`` bytes each."""
+    """``doc_id, n_tokens, width, ids, counts``: the ids of each text and ``end_id``, in ``width`` bytes each.
+
+    The last row of each task has the number of times it saw each id as ``counts``, and nulls else; other rows have no counts.
+    """
 
     def encode(batches):
         tokens = encoder(tokenizer)
         end = np.asarray([end_id], dtype=tokens.dtype).tobytes()
-        for piece in pieces(batches):
-            tokens.trim()
-            ids = [tokens.ids(text) + end for text in texts_of(piece)]
-            n = pa.array([len(x) // tokens.dtype.itemsize for x in ids], pa.int64())
-            width = pa.array([tokens.dtype.itemsize] * len(ids), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [column_of(piece, "doc_id"), n, width, pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "width", "ids"],
-            )
-
+        total = np.zeros(0, dtype=np.int64)
+        try:
+            for piece in pieces(batches):
+                ids = [x + end for x in tokens.ids(texts_of(piece))]
+                found = np.bincount(np.frombuffer(b"".join(ids), tokens.dtype))
+                if len(found) > len(total):
+                    found, total = total, found
+                total[: len(found)] += found
+                n = pa.array([len(x) // tokens.dtype.itemsize for x in ids], pa.int64())
+                width = pa.array([tokens.dtype.itemsize] * len(ids), pa.int32())
+                arrays = [column_of(piece, "doc_id"), n, width, pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            if len(total):
+                last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*last, pa.array([total.astype("<i8").tobytes()])], names=names)
+        finally:
+            tokens.forget()
+            give_back()
+
+    names = ["doc_id", "n_tokens", "width", "ids", "counts"]
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(encode, "doc_id long, n_tokens long, width int, ids binary")
+    return wanted.mapInArrow(encode, "doc_id long, n_tokens long, width int, ids binary, counts binary")
 
 
 def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -68,23 +81,23 @@ def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(v, dtype=f"<u{w}") for v, w in zip(values, widths, strict=True)]
 
 
-def token_counts(ids: DataFrame) -> DataFrame:
-    """``token, n``: each task counts what it reads, so at most vocabulary x tasks rows are merged."""
+def token_counts(ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of ``encoded`` and how often each occurs: one row of the vocabulary's size per task is merged."""
 
-    def count(batches):
+    def merge(batches):
         total = np.zeros(0, dtype=np.int64)
-        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-            found = np.bincount(np.concatenate(_arrays(batch)))
-            if len(found) > len(total):
-                found[: len(total)] += total
-                total = found
-            else:
+        for batch in batches:
+            for value in column_of(batch, "counts").to_pylist():
+                found = np.frombuffer(value, "<i8").copy()
+                if len(found) > len(total):
+                    found, total = total, found
                 total[: len(found)] += found
         token = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(total[token])], names=["token", "n"])
 
-    counted = ids.select("width", "ids").mapInArrow(count, "token long, n long")
-    return counted.groupBy("token").agg(F.sum("n").alias("n"))
+    merged = ids.filter("counts IS NOT NULL").select("counts").mapInArrow(merge, "token long, n long")
+    counts = merged.groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    return counts["token"].to_numpy(), counts["n"].to_numpy()
 
 
 def _block_rows(
@@ -115,15 +128,15 @@ def write_tokens(
     """Encode every whole text and write the token file.
 
     A null text is empty and so has the end id alone; rows with a null ``doc_id`` come first; rows with equal ids are
-    ordered by their token ids. An empty table gives a file without blocks. Other columns are ignored.
+    ordered by a hash of their token ids, so that any number of them spreads over shards. An empty table gives a file without blocks. Other columns are ignored.
     """
     spark = docs.sparkSession
     work = scratch(spark)
     target = work.path("ids")
     encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(target)
     ids = spark.read.parquet(target)
-    counts = token_counts(ids).toPandas()
-    table = rans.Table.of_counts(counts["token"].to_numpy(), counts["n"].to_numpy())
+    tokens, counts = token_counts(ids)
+    table = rans.Table.of_counts(tokens, counts)
     row = (table.scale, bytearray(table.symbols.astype("<u4").tobytes()), bytearray(table.freqs.astype("<i8").tobytes()))
     spark.createDataFrame([row], "scale int, symbols binary, freqs binary").coalesce(1).write.parquet(
         storage.join(folder, "table")
@@ -160,8 +173,12 @@ def write_tokens(
         if ready:
             yield from _block_rows(ready, shared.value, shard, block)
 
-    shards = max(1, -(-int(counts["n"].sum()) // shard_tokens))
-    in_order = ids.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    shards = max(1, -(-int(counts.sum()) // shard_tokens))
+    # Rows without ids, or with equal ones, are spread by what they hold, and equal rows by their place.
+    order = ["doc_id", F.xxhash64("ids"), F.monotonically_increasing_id()]
+    rows = ids.filter("counts IS NULL").select("doc_id", "width", "ids", *[c.alias(f"_{i}") for i, c in enumerate(order[1:])])
+    keys = ["doc_id", "_0", "_1"]
+    in_order = rows.repartitionByRange(shards, *keys).sortWithinPartitions(*keys).select("doc_id", "width", "ids")
     in_order.mapInArrow(write, BLOCKS).write.parquet(storage.join(folder, "blocks"))
     storage.remove(spark, work.root)
 
