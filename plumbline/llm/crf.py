@@ -58,6 +58,32 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, transition: np.ndarray, sta
     return out
 
 
+def outside_bound(transition: np.ndarray, start: np.ndarray, kinds: int) -> float:
+    """The most that transitions can gain by any label but 0 at a place, against label 0 there.
+
+    Labels are 0 and, for each kind, a begin and an inside label; after label 0 an inside label becomes the begin of its
+    kind. Taken over all allowed labels before, at and two places after, and over beginnings and ends of a line.
+    """
+    n = 1 + 2 * kinds
+    begin_of = np.array([label - 1 if label and label % 2 == 0 else label for label in range(n)])
+    # What comes before: a label, or the beginning of the line.
+    into = np.concatenate([transition, start[None]])
+    # What comes after: nothing, or a label and then nothing or another label.
+    two = np.concatenate([transition, np.zeros((n, 1))], axis=1)
+    gain = -np.inf
+    for label in range(1, n):
+        before = (into[:, label] - into[:, 0])[into[:, label] > -5e3]
+        after = [0.0]
+        for b in range(n):
+            if transition[label, b] > -5e3:
+                kept = two[b] > -5e3
+                change = transition[label, b] - transition[0, begin_of[b]] + two[b][kept] - two[begin_of[b]][kept]
+                after.append(change.max())
+        if len(before):
+            gain = max(gain, before.max() + max(after))
+    return float(gain)
+
+
 def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     top = values.max(axis=axis, keepdims=True)
     return (np.log(np.exp(values - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)

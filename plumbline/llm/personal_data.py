@@ -5,7 +5,9 @@ SAMPLE_ROWS documents whose words are labelled by the base patterns, once as the
 patterns hinge on taken away or replaced (``name at host dot org``, a number without its plus), so that it learns how such
 data look rather than one spelling. Its spans are added to the base spans, which stay.
 
-Decoding is Viterbi over all lines of a piece of documents at a time, whatever signs they have.
+Decoding is Viterbi over all lines of a piece of documents at a time, whatever signs they have. What a word adds to the scores
+of its own place and of its neighbours' places is kept per distinct word. A line is cut at the words that are surely
+outside, where no label could make up for what it loses, whatever stands around: the best labels are the same.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ SAMPLE_BYTES = 20_000
 SEED = 31
 #: Lines without data that a text gives to the labelled table, at most.
 PLAIN_LINES = 20
-#: Words that are decoded together, at least.
+#: Words that are decoded together, at least, and distinct words whose scores a task remembers.
 WORDS_AT_ONCE = 60_000
+REMEMBERED = 150_000
 
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 _BUCKETS = 1 << 12
@@ -97,16 +100,36 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _DIGIT = re.compile(r"[0-9]")
 
 
+_bucket_of: dict[str, int] = {}
+
+
+def _bucket(name: str) -> int:
+    found = _bucket_of.get(name)
+    if found is None:
+        if len(_bucket_of) > 100_000:
+            _bucket_of.clear()
+        found = int.from_bytes(hashlib.blake2b(name.encode(), digest_size=4).digest(), "little") % _BUCKETS
+        _bucket_of[name] = found
+    return found
+
+
 def _shape(word: str) -> tuple[int, int, int, int, int]:
     """Buckets of a word: its shape, digits, marks, spelling if short, and size with the check digit of a long number."""
+    signal = word.lower() if len(word) <= 3 and word.isascii() else ""
+    size = min(len(word), 30) // 3
+    if word.isalpha():
+        return _bucket("sa"), _bucket("d0"), _bucket("m"), _bucket("w" + signal), _bucket(f"l{size}True")
     shape = re.sub(r"[A-Za-z\u0080-\U0010FFFF]+", "a", re.sub(r"[0-9]+", lambda m: "9" * min(4, len(m.group())), word))
     digits = len(_DIGIT.findall(word))
     marks = "".join(sorted({c for c in word if not c.isalnum()}))
     plain = not digits and not marks
     check = luhn("".join(_DIGIT.findall(word))) if 12 <= digits <= 19 else ""
-    signal = word.lower() if len(word) <= 3 and word.isascii() else ""
-    names = ("s" + shape[:12], f"d{min(digits, 20)}", "m" + marks[:6], "w" + signal, f"l{min(len(word), 30) // 3}{plain}{check}")
-    return tuple(int.from_bytes(hashlib.blake2b(n.encode(), digest_size=4).digest(), "little") % _BUCKETS for n in names)
+    names = ("s" + shape[:12], f"d{min(digits, 20)}", "m" + marks[:6], "w" + signal, f"l{size}{plain}{check}")
+    return tuple(map(_bucket, names))
+
+
+#: Of a neighbour, the line's features are its shape, digits and short spelling.
+_SEEN_BESIDE = (0, 1, 3)
 
 
 def _featured(words: list[str], lengths: np.ndarray, shapes: Remembered) -> np.ndarray:
@@ -116,7 +139,7 @@ def _featured(words: list[str], lengths: np.ndarray, shapes: Remembered) -> np.n
     ends = np.cumsum(lengths) - 1
     columns = [own[:, i] for i in range(5)]
     for step, edge in ((1, begins), (-1, ends)):
-        for place, kind in enumerate((0, 1, 3)):
+        for place, kind in enumerate(_SEEN_BESIDE):
             moved = np.roll(own[:, kind], step)
             moved[edge] = 0
             # Neighbours' features live in buckets of their own.
@@ -211,17 +234,15 @@ def labelled_lines(texts: list[str]) -> tuple[list[list[str]], list[list[int]]]:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> crf.Crf:
-    """A model from ``sample_rows`` rows that have an at sign or eight digits, those with the smallest seeded hashes."""
+    """A model from ``sample_rows`` distinct texts with an at sign or several digits, those with the smallest seeded hashes."""
     text = F.col("text").cast("string")
     has = text.contains("@") | text.rlike(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]") | text.rlike(r"[0-9][\x20().-]?[0-9]{3}")
     order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), text), 1)
     rows = docs.filter(has & (F.octet_length(text) <= SAMPLE_BYTES)).select(text.alias("text"), order.alias("o"))
-    # Only rows whose hash is low enough for about four times the sample are ranked, so tasks send a few rows at most.
-    eligible = rows.count()
-    if eligible > 4 * sample_rows:
-        rows = rows.filter(F.col("o") < (1 << 63) // eligible * 4 * sample_rows)
-    rows = rows.orderBy("o", "text")
-    lines, labels = labelled_lines([r["text"] for r in rows.limit(sample_rows).collect()])
+    # Copies count once: the smallest hashes first, then one text of each.
+    least = [r["o"] for r in rows.select("o").distinct().orderBy("o").limit(sample_rows).collect()]
+    drawn = rows.filter(F.col("o").isin(least)).dropDuplicates(["o"]) if least else rows.limit(0)
+    lines, labels = labelled_lines([r["text"] for r in sorted(drawn.collect(), key=lambda r: r["o"])])
     if not lines:
         lines, labels = [["-"]], [[0]]
     lengths = np.array([len(x) for x in lines])
@@ -234,47 +255,113 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) -> cr
     return model
 
 
-def model_spans(texts: list[str], model: crf.Crf, shapes: Remembered) -> list[list[tuple[str, int, int]]]:
-    """Spans of every text by Viterbi over all its lines, many at a time."""
+class Decoder:
+    """A model with the scores of the distinct words met so far."""
+
+    def __init__(self, model: crf.Crf):
+        self.model = model
+        emission = model.emission
+        beside = [[(1 + place + 3 * side) * _BUCKETS for place in range(len(_SEEN_BESIDE))] for side in (0, 1)]
+        self.beside = [np.array(b) for b in beside]
+        #: What the edge of a line adds to the scores of its first and last word.
+        self.edge = [emission[b].sum(axis=0) for b in self.beside]
+        self.bound = crf.outside_bound(model.transition, model.start, len(KINDS))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.rows = np.zeros((3, 0, len(self.model.labels)))
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """The row of each word in ``rows``: its own scores, those it adds to the word after it and to the word before it."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        number = self.number
+        known = len(number)
+        found = np.fromiter([number.setdefault(w, len(number)) for w in words], np.int64, len(words))
+        if len(number) > known:
+            new = list(number)[known:]
+            shapes = np.array([_shape(w.decode()) for w in new], dtype=np.int64)
+            emission, seen = self.model.emission, shapes[:, _SEEN_BESIDE]
+            more = np.stack([emission[shapes].sum(axis=1), *(emission[seen + b].sum(axis=1) for b in self.beside)])
+            if known + len(new) > self.rows.shape[1]:
+                room = np.zeros((3, max(1024, known + len(new), 2 * known), more.shape[2]))
+                room[:, :known] = self.rows[:, :known]
+                self.rows = room
+            self.rows[:, known : known + len(new)] = more
+        return found
+
+    def labels(self, words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+        """The best label of every word of some lines."""
+        at = self._numbers(words)
+        begins = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+        ends = np.cumsum(lengths) - 1
+        own, after, before = self.rows
+        scores = own[at]
+        beside = after[np.roll(at, 1)]
+        beside[begins] = self.edge[0]
+        scores += beside
+        beside = before[np.roll(at, -1)]
+        beside[ends] = self.edge[1]
+        scores += beside
+        # A word is surely outside if no label there, with an inside label after it made a begin, can be better.
+        inside, begin = scores[:, 2::2], scores[:, 1::2]
+        ahead = np.roll(np.maximum((inside - begin).max(axis=1), 0), -1)
+        ahead[ends] = 0
+        open_ = np.flatnonzero(scores[:, 0] - scores[:, 1:].max(axis=1) <= ahead + self.bound)
+        out = np.zeros(len(words), dtype=np.int8)
+        if not len(open_):
+            return out
+        line = np.repeat(np.arange(len(lengths)), lengths)[open_]
+        fresh = np.ones(len(open_), dtype=bool)
+        fresh[1:] = (np.diff(open_) > 1) | (np.diff(line) > 0)
+        first = np.flatnonzero(fresh)
+        sizes = np.diff([*first.tolist(), len(open_)])
+        last = first + sizes - 1
+        part = scores[open_]
+        at_begin = open_[first] == begins[line[first]]
+        part[first] += np.where(at_begin[:, None], self.model.start, self.model.transition[0])
+        inner = last[open_[last] < ends[line[last]]]
+        part[inner] += self.model.transition[:, 0]
+        out[open_] = crf.viterbi(part, sizes, self.model.transition, np.zeros(len(self.model.labels)))
+        return out
+
+
+def model_spans(texts: list[bytes], decoder: Decoder) -> list[list[tuple[str, int, int]]]:
+    """Spans of every text by Viterbi over all its lines, many at a time; in code points."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    owners: list[int] = []
-    words: list[tuple[int, int]] = []
+    words: list[bytes] = []
     lengths: list[int] = []
+    held: list[tuple[int, int]] = []  # a text and its first word
     for i, text in enumerate(texts):
-        for start, end in _lines(text):
-            own = _words_of(text, start, end)
-            if not own:
-                continue
-            owners.append(i)
-            words += own
-            lengths.append(len(own))
-            if len(words) >= WORDS_AT_ONCE:
-                _decode(texts, owners, words, lengths, model, shapes, out)
-                owners, words, lengths = [], [], []
-    if words:
-        _decode(texts, owners, words, lengths, model, shapes, out)
+        held.append((i, len(words)))
+        for line in text.split(b"\n"):
+            own = line.split()
+            if own:
+                words += own
+                lengths.append(len(own))
+        if len(words) >= WORDS_AT_ONCE or i == len(texts) - 1:
+            if words:
+                _add_spans(texts, held, decoder.labels(words, np.array(lengths)), out)
+            words, lengths, held = [], [], []
     return out
 
 
-def _decode(texts, owners, words, lengths, model, shapes, out) -> None:
-    """Add the spans of some lines."""
-    sizes = np.array(lengths)
-    owner = np.repeat(owners, sizes)
-    spelled = [texts[i][a:b] for i, (a, b) in zip(owner.tolist(), words, strict=True)]
-    features = _featured(spelled, sizes, shapes)
-    scores = model.emission[features[:, 0]].copy()
-    for kind in range(1, features.shape[1]):
-        scores += model.emission[features[:, kind]]
-    best = crf.viterbi(scores, sizes, model.transition, model.start)
-    found: list[list] = []
-    for at in np.flatnonzero(best).tolist():
-        label = int(best[at])
-        if label % 2:
-            found.append([owner[at], KINDS[(label - 1) // 2], *words[at]])
-        else:
-            found[-1][3] = words[at][1]
-    for i, kind, a, b in found:
-        out[i].append((kind, a, b))
+def _add_spans(texts, held, best, out) -> None:
+    """Add the labelled words of some texts; only these texts' words are placed."""
+    labelled = np.flatnonzero(best)
+    begins = np.array([b for _, b in held])
+    owner = np.searchsorted(begins, labelled, side="right") - 1
+    for k in np.unique(owner).tolist():
+        i, begin = held[k]
+        places = [m.span() for m in _WORD.finditer(texts[i].decode())]
+        for at in labelled[owner == k].tolist():
+            label, (a, b) = int(best[at]), places[at - begin]
+            if label % 2:
+                out[i].append((KINDS[(label - 1) // 2], a, b))
+            else:
+                kind, first, _ = out[i][-1]
+                out[i][-1] = (kind, first, b)
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:
@@ -285,18 +372,19 @@ def personal_data(docs: DataFrame, model: crf.Crf | None = None, sample_rows: in
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` of every row.
 
     The counts and the digest are of the base spans; ``spans`` has these and the model's spans that touch no base span,
-    as kind:start:end in code points. A null text is empty. Equal rows get equal results.
+    as kind:start:end in code points. A null text is empty and has no data; null ids stay null; lines and texts may have any
+    length. Equal texts get equal results. An empty table gives an empty result; other columns are ignored.
     """
     model = fit(docs, sample_rows) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def search(batches):
-        shapes = Remembered(_shape, 200_000)
+        decoder = Decoder(shared.value)
         for piece in pieces(batches):
-            shapes.trim()
-            texts = [t.decode() for t in texts_of(piece)]
+            texts = texts_of(piece)
             out: dict[str, list] = {f"n_{k}": [] for k in KINDS} | {"base_sha256": [], "spans": [], "n_added": []}
-            for text, more in zip(texts, model_spans(texts, shared.value, shapes), strict=True):
+            for data, more in zip(texts, model_spans(texts, decoder), strict=True):
+                text = data.decode()
                 base = base_spans(text)
                 taken = sorted((a, b) for _, a, b in base)
                 ends = [b for _, b in sorted(taken, key=lambda s: s[1])]

@@ -14,7 +14,8 @@ import numpy as np
 import pytest
 
 from plumbline.llm import crf, logbloom
-from plumbline.llm.personal_data import KINDS, PATTERNS, addresses, base_spans, fit, luhn, personal_data
+from plumbline.llm.personal_data import KINDS, PATTERNS, Decoder, _featured, _shape, addresses, base_spans, fit, luhn, personal_data
+from plumbline.llm.common import Remembered
 from plumbline.llm.scoring import scored
 
 from .conftest import prose
@@ -113,6 +114,26 @@ def test_model_finds_spelled_out_addresses(make_docs):
     assert plain.filter("n_added > 0").count() <= 2
 
 
+def test_cut_lines_have_the_labels_of_whole_ones(model):
+    """Words of data, halves of it and plain words in any order, so that lines are cut in many places."""
+    rng = random.Random(9)
+    pool = ["a@b.org", "at", "dot", "org", "1", "(415)", "555-1234", "+1", "4111", "1111", "10.0.0.1", "[.]", "word", "another", "x,", "é"]
+    lines = [[rng.choice(pool if rng.random() < 0.5 else pool[12:]) for _ in range(rng.randrange(1, 30))] for _ in range(1500)]
+    lengths = np.array([len(x) for x in lines])
+    words = [w for line in lines for w in line]
+    scores = model.emission[_featured(words, lengths, Remembered(_shape))].sum(axis=1)
+    want = crf.viterbi(scores, lengths, model.transition, model.start)
+    decoder = Decoder(model)
+    assert np.array_equal(decoder.labels([w.encode() for w in words], lengths), want)
+    assert len(set(want.tolist())) > 4
+
+
+def test_copies_do_not_change_the_model(make_docs):
+    texts = labelled_texts(random.Random(8), 3)
+    few, many = fit(make_docs(texts * 3)), fit(make_docs(texts * 900))
+    assert np.array_equal(few.emission, many.emission) and np.abs(few.emission).max() > 0.2
+
+
 def test_base_spans_stay(make_docs, model, edge_docs, edge_rows, no_docs):
     texts = labelled_texts(random.Random(6), 40) + [None, ""]
     for r in personal_data(make_docs(texts), model).collect():
