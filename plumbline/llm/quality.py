@@ -292,17 +292,23 @@ def estimates(table: DataFrame, work, support: float = SUPPORT, steps: int = STE
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
-def _judged(docs: DataFrame, keep: list[str], cutoff: float, min_group: int, support: float, steps: int) -> DataFrame:
-    work = scratch(docs.sparkSession)
-    table = work.stage(measured(docs, keep), "measures")
+def _grouped(table: DataFrame, own: DataFrame, shared) -> DataFrame:
+    return _features(table.join(own, "_group", "left")).withColumn("_g", F.coalesce("_own", shared))
+
+
+def _estimated(table: DataFrame, work, min_group: int, support: float, steps: int) -> tuple[DataFrame, DataFrame, object]:
+    """From written measures: the estimates, the groups that have their own, and the name of the one the others share."""
     passing = table.filter(~F.col("base_failed")).groupBy("_group").agg(F.count("*").alias("_rows"))
     own = passing.filter(F.col("_rows") >= min_group).select("_group", F.col("_group").alias("_own"))
     own = work.stage(own, "groups")
     rest = passing.filter(F.col("_rows") < min_group).agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     shared = F.lit("*") if rest >= min_group else F.lit(None).cast("string")
-    grouped = _features(table.join(own, "_group", "left")).withColumn("_g", F.coalesce("_own", shared))
-    estimate = estimates(grouped, work, support, steps)
-    judged = grouped.join(estimate, "_g", "left").withColumn("_distance", F.sqrt(_distance()))
+    return estimates(_grouped(table, own, shared), work, support, steps), own, shared
+
+
+def _judged(table: DataFrame, estimated: tuple[DataFrame, DataFrame, object], cutoff: float) -> DataFrame:
+    estimate, own, shared = estimated
+    judged = _grouped(table, own, shared).join(estimate, "_g", "left").withColumn("_distance", F.sqrt(_distance()))
     fits = F.coalesce(F.col("_distance") <= math.sqrt(chi2_quantile(cutoff, _P)), F.lit(True))
     return judged.withColumn("_kept", ~F.col("base_failed") & fits)
 
@@ -321,7 +327,9 @@ def quality_verdicts(
     they have none, ``distance`` is null and the base rules alone decide. Equal rows get equal verdicts; an empty table
     gives an empty result; other columns are ignored.
     """
-    judged = _judged(docs, ["doc_id"], cutoff, min_group, support, steps)
+    work = scratch(docs.sparkSession)
+    table = work.stage(measured(docs, ["doc_id"]), "measures")
+    judged = _judged(table, _estimated(table, work, min_group, support, steps), cutoff)
     return judged.select(
         "doc_id", *_MEASURES, F.col("_kept").alias("kept"), F.round("_distance", 4).alias("distance")
     )
@@ -334,6 +342,12 @@ def of_quality(
     support: float = SUPPORT,
     steps: int = STEPS,
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns, whatever their names."""
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names.
+
+    Texts are read twice: the measures that the estimates are made of are written without them, and a second reading measures
+    each row and judges it at once, so no text is written before it is judged.
+    """
+    work = scratch(docs.sparkSession)
     rows = row_and(docs, "text", "lang", "source")
-    return _judged(rows, ["_row"], cutoff, min_group, support, steps).filter("_kept").select("_row.*")
+    estimated = _estimated(work.stage(measured(rows, []), "measures"), work, min_group, support, steps)
+    return _judged(measured(rows, ["_row"]), estimated, cutoff).filter("_kept").select("_row.*")
