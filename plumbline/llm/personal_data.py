@@ -6,7 +6,7 @@ patterns hinge on taken away or replaced (``name at host dot org``, a number wit
 data look rather than one spelling. Its spans are added to the base spans, which stay.
 
 Decoding is Viterbi over all lines of a piece of documents at a time, whatever signs they have. What a word adds to the scores
-of its own place and of its neighbours' places is kept per distinct word. A line is cut at the words that are surely
+of its own place and of its neighbours' places is kept per distinct shape. A line is cut at the words that are surely
 outside, where no label could make up for what it loses, whatever stands around: the best labels are the same.
 """
 
@@ -38,7 +38,7 @@ SAMPLE_BYTES = 20_000
 SEED = 31
 #: Lines without data that a text gives to the labelled table, at most.
 PLAIN_LINES = 20
-#: Words that are decoded together, at least, and distinct words whose scores a task remembers.
+#: Words that are decoded together, at least, and distinct words that a task remembers.
 WORDS_AT_ONCE = 60_000
 REMEMBERED = 150_000
 
@@ -128,6 +128,18 @@ def _shape(word: str) -> tuple[int, int, int, int, int]:
     return tuple(map(_bucket, names))
 
 
+def _signature(word: bytes) -> tuple:
+    """Words of one signature have one shape: letters alone, or with a full stop or comma, by size and spelling; else the shape itself."""
+    mark = word[-1:] if word[-1:] in (b".", b",") else b""
+    if (word[:-1] if mark else word).isalpha():
+        size = len(word)
+        return mark, min(size, 30) // 3, word.lower() if size <= 3 else b""
+    text = word.decode()
+    if (text[:-1] if mark else text).isalpha():
+        return mark, min(len(text), 30) // 3, b""
+    return _shape(text)
+
+
 #: Of a neighbour, the line's features are its shape, digits and short spelling.
 _SEEN_BESIDE = (0, 1, 3)
 
@@ -270,26 +282,28 @@ class Decoder:
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
+        self.row_of: dict[tuple, int] = {}
         self.rows = np.zeros((3, 0, len(self.model.labels)))
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         """The row of each word in ``rows``: its own scores, those it adds to the word after it and to the word before it."""
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > REMEMBERED or len(self.row_of) > REMEMBERED:
             self._forget()
-        number = self.number
-        known = len(number)
-        found = np.fromiter([number.setdefault(w, len(number)) for w in words], np.int64, len(words))
-        if len(number) > known:
-            new = list(number)[known:]
-            shapes = np.array([_shape(w.decode()) for w in new], dtype=np.int64)
+        number, row_of = self.number, self.row_of
+        fresh: list[bytes] = []
+        for word in set(words).difference(number):
+            signature = _signature(word)
+            row = row_of.get(signature)
+            if row is None:
+                row = row_of[signature] = len(row_of)
+                fresh.append(word)
+            number[word] = row
+        if fresh:
+            shapes = np.array([_shape(w.decode()) for w in fresh], dtype=np.int64)
             emission, seen = self.model.emission, shapes[:, _SEEN_BESIDE]
             more = np.stack([emission[shapes].sum(axis=1), *(emission[seen + b].sum(axis=1) for b in self.beside)])
-            if known + len(new) > self.rows.shape[1]:
-                room = np.zeros((3, max(1024, known + len(new), 2 * known), more.shape[2]))
-                room[:, :known] = self.rows[:, :known]
-                self.rows = room
-            self.rows[:, known : known + len(new)] = more
-        return found
+            self.rows = np.concatenate([self.rows, more], axis=1)
+        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
 
     def labels(self, words: list[bytes], lengths: np.ndarray) -> np.ndarray:
         """The best label of every word of some lines."""

@@ -117,7 +117,7 @@ def test_model_finds_spelled_out_addresses(make_docs):
 def test_cut_lines_have_the_labels_of_whole_ones(model):
     """Words of data, halves of it and plain words in any order, so that lines are cut in many places."""
     rng = random.Random(9)
-    pool = ["a@b.org", "at", "dot", "org", "1", "(415)", "555-1234", "+1", "4111", "1111", "10.0.0.1", "[.]", "word", "another", "x,", "é"]
+    pool = ["a@b.org", "at", "dot", "org", "1", "(415)", "555-1234", "+1", "4111", "1111", "10.0.0.1", "[.]", "word", "another", "x,", "é", "é.", "ab,", "Été,", "a.b", "...", ",", "abc", "abcd.", "日本", "x1."]
     lines = [[rng.choice(pool if rng.random() < 0.5 else pool[12:]) for _ in range(rng.randrange(1, 30))] for _ in range(1500)]
     lengths = np.array([len(x) for x in lines])
     words = [w for line in lines for w in line]
