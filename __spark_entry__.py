@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from plumbline.functions.instants import normalize_timestamps, timestamp_form  # noqa: E402
 from plumbline.operators import health, integrity, profile, sampling, sequence  # noqa: E402
 from plumbline.operators.episodes import (  # noqa: E402
+    SPLITS,
     add_episodes,
     episode_count,
     split_counts,
@@ -37,7 +38,7 @@ from plumbline.plans.cleaners import ROW  # noqa: E402
 from plumbline.plans.conversion import write_verified  # noqa: E402
 from plumbline.plans.gates import GateConfig, gate_table  # noqa: E402
 from plumbline.plans.publishing import SOURCES, run_all  # noqa: E402
-from plumbline.plans.trajectories import build_trajectories, gpu_telemetry  # noqa: E402
+from plumbline.plans.trajectories import build_trajectories, gpu_telemetry, read_table, read_trajectories  # noqa: E402
 from plumbline.sources.closed_records import classify, error_examples  # noqa: E402
 from plumbline.sources.jsonl import count_lines, read_jsonl  # noqa: E402
 from plumbline.sources.sinks import in_source_order, jsonl_text, write_jsonl  # noqa: E402
@@ -657,19 +658,22 @@ def flat_signals(spark, sf_dir):
 
 def gpu_lines(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
+    # Multiples of a power of two, so that sums and differences are exact.
+    spread = lambda factor, modulus, unit, low=0: low + ((e * factor) % modulus) / F.lit(float(unit))
+    clock = spread(13, 37, 1, 900)
     signal = {
-        "vddcr_gfx_v": F.lit(0.7) + (e % 5) * 0.01,
-        "vram_temp_c": (e % 11).cast("double"),
+        "vddcr_gfx_v": spread(17, 29, 64, 0.5),
+        "vram_temp_c": spread(7, 43, 2, 20),
         "gpu_temp_c": F.col("value"),
         "power_w": F.col("user_id").cast("double"),
-        "gpu_clock_mhz": (e % 7).cast("double"),
-        "mem_clock_mhz": (e % 3).cast("double"),
-        "clock_mhz": (e % 7).cast("double"),
-        "fan_speed_pct": (e % 100).cast("double"),
-        "mem_util_pct": (e % 50).cast("double"),
-        "qubic_tick_trace": (e % 10).cast("double"),
-        "qubic_tick_rate": (e % 4).cast("double"),
-        "qubic_epoch_progress": (e % 13).cast("double"),
+        "gpu_clock_mhz": clock,
+        "mem_clock_mhz": spread(11, 17, 1, 400),
+        "clock_mhz": clock,
+        "fan_speed_pct": spread(19, 83, 1),
+        "mem_util_pct": spread(23, 59, 2),
+        "qubic_tick_trace": spread(3, 31, 1),
+        "qubic_tick_rate": spread(5, 23, 8),
+        "qubic_epoch_progress": spread(29, 47, 64),
         "hashrate_mh": F.lit(0.0),
         "rejected_shares": F.lit(0),
     }
@@ -767,21 +771,43 @@ def publish_outcomes(spark, sf_dir):
     )
 
 
+def built_tree(spark: SparkSession, sf_dir: str, workspace: Workspace):
+    """All published sources, the trajectory tree over them, and its report."""
+    root = workspace.path("tree")
+    for key in RAW_LINES:
+        path = raw_source(spark, sf_dir, key, f"{root}/in")
+        result = SPEC[key].cleaner(spark, path, workspace)
+        write_jsonl(
+            result.rows,
+            f"{root}/{SPEC[key].output}",
+            order_by=ROW,
+            n_rows=result.n_in,
+            columns=result.columns,
+        )
+    return root, build_trajectories(spark, root, episode_len=EPISODE_STEPS, horizon=HORIZON)
+
+
+def stored_trajectories(spark, sf_dir):
+    """The joined rows of all splits, read back from the bucketed tables of a build."""
+    root, _ = built_tree(spark, sf_dir, Workspace(spark))
+    parts = [read_trajectories(spark, root, split, verify="content").withColumn("split", F.lit(split)) for split in SPLITS]
+    known = [F.col(c).cast("double").alias(c) for c in ("gpu_temp_c", "sm_clock_mhz", "vddcr_gfx_v", "d_gpu_temp_c")]
+    rows = [p.select("split", "episode_id", "step_idx", *known, "teacher_rule_id", "is_first", "is_last") for p in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def stored_encoders(spark, sf_dir):
+    """The encoder rows of a build, read back."""
+    root, _ = built_tree(spark, sf_dir, Workspace(spark))
+    return read_table(spark, root, "encoding_params", "train").select(
+        "feature_name", "encoder_type", *[F.col(c).cast("double").alias(c) for c in ("min", "max", "threshold")]
+    )
+
+
 def trajectory_build(spark, sf_dir):
     """Published sources to the whole trajectory tree; row counts per table and split."""
     with Workspace(spark) as workspace:
-        root = workspace.path("tree")
-        for key in RAW_LINES:
-            path = raw_source(spark, sf_dir, key, f"{root}/in")
-            result = SPEC[key].cleaner(spark, path, workspace)
-            write_jsonl(
-                result.rows,
-                f"{root}/{SPEC[key].output}",
-                order_by=ROW,
-                n_rows=result.n_in,
-                columns=result.columns,
-            )
-        report = build_trajectories(spark, root, episode_len=EPISODE_STEPS, horizon=HORIZON)
+        _, report = built_tree(spark, sf_dir, workspace)
     rows = [(c, s, n) for c, splits in report.configs.items() for s, n in splits.items()]
     return spark.createDataFrame(rows, "config string, split string, n bigint")
 
@@ -849,6 +875,8 @@ QUERIES: dict[str, Query] = {
     "clean_market": cleaned("ghost_market_log"),
     "publish_outcomes": publish_outcomes,
     "trajectory_build": trajectory_build,
+    "stored_trajectories": stored_trajectories,
+    "stored_encoders": stored_encoders,
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from plumbline.plans import contracts as C
+
 STEPS, HORIZON = 64, 8
 
 ORDERS_DEAD = """
@@ -136,6 +138,9 @@ lines_read AS (
   FROM judged)
 """
 
+#: Encoded features, and whether by changes.
+ENCODED = [*((f, False) for f in C.RATE_FEATURES), *((f, True) for f in C.DELTA_FEATURES)]
+
 LAYOUT = f"""
 size AS (SELECT (count(*) + {STEPS - 1}) // {STEPS} AS n FROM events),
 layout AS (
@@ -479,12 +484,12 @@ UNION ALL SELECT 'empty_feature', NULL, NULL""",
 SELECT event_id AS row_index, CAST(NULL AS BIGINT) AS ts_utc, '3.0.0' AS schema_version, user_id, event_type, value
 FROM events""",
     "clean_gpu": """
-SELECT 0.7::DOUBLE + (event_id % 5) * 0.01::DOUBLE AS vddcr_gfx_v, (event_id % 11)::DOUBLE AS vram_temp_c,
-  value AS gpu_temp_c, user_id::DOUBLE AS power_w, (event_id % 7)::DOUBLE AS gpu_clock_mhz,
-  (event_id % 3)::DOUBLE AS mem_clock_mhz, (event_id % 7)::DOUBLE AS clock_mhz,
-  (event_id % 100)::DOUBLE AS fan_speed_pct, (event_id % 50)::DOUBLE AS mem_util_pct,
-  (event_id % 10)::DOUBLE AS qubic_tick_trace, (event_id % 4)::DOUBLE AS qubic_tick_rate,
-  (event_id % 13)::DOUBLE AS qubic_epoch_progress, event_id AS row_index FROM events""",
+SELECT 0.5::DOUBLE + (event_id * 17 % 29) / 64 AS vddcr_gfx_v, 20::DOUBLE + (event_id * 7 % 43) / 2 AS vram_temp_c,
+  value AS gpu_temp_c, user_id::DOUBLE AS power_w, (900 + event_id * 13 % 37)::DOUBLE AS gpu_clock_mhz,
+  (400 + event_id * 11 % 17)::DOUBLE AS mem_clock_mhz, (900 + event_id * 13 % 37)::DOUBLE AS clock_mhz,
+  (event_id * 19 % 83)::DOUBLE AS fan_speed_pct, (event_id * 23 % 59) / 2 AS mem_util_pct,
+  (event_id * 3 % 31)::DOUBLE AS qubic_tick_trace, (event_id * 5 % 23) / 8 AS qubic_tick_rate,
+  (event_id * 29 % 47) / 64 AS qubic_epoch_progress, event_id AS row_index FROM events""",
     "clean_mining": """
 SELECT value AS hashrate_mh, user_id::DOUBLE AS power_w,
   CASE WHEN event_id % 7 NOT IN (3, 4) THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
@@ -524,4 +529,28 @@ UNION ALL SELECT 'encoding_params', 'train', 36
 UNION ALL SELECT c, 'train', (SELECT count(*) FROM events)
 FROM (VALUES ('gpu_telemetry'), ('hft'), ('qubic_ticks')) AS v(c)
 UNION ALL SELECT 'mining', 'train', count(*) FROM events WHERE event_id % 50 <> 6""",
+    "stored_trajectories": f"""
+WITH {LAYOUT}, state AS (
+  SELECT *, CAST(CAST(value AS FLOAT) AS DOUBLE) AS gpu_temp_c FROM placed WHERE split IS NOT NULL)
+SELECT split, episode_id, step_idx, gpu_temp_c, (900 + event_id * 13 % 37)::DOUBLE AS sm_clock_mhz,
+  0.5::DOUBLE + (event_id * 17 % 29) / 64 AS vddcr_gfx_v,
+  CAST(CAST(lead(gpu_temp_c, 8) OVER w - gpu_temp_c AS FLOAT) AS DOUBLE) AS d_gpu_temp_c,
+  CAST(NULL AS VARCHAR) AS teacher_rule_id, step_idx = 0 AS is_first, lead(step_idx) OVER w IS NULL AS is_last
+FROM state WINDOW w AS (PARTITION BY episode_id ORDER BY step_idx)""",
+    "stored_encoders": f"""
+WITH {LAYOUT}, train AS (
+  SELECT CAST(value AS FLOAT) AS t, CAST(user_id AS FLOAT) AS p, event_id AS e FROM placed WHERE split = 'train'),
+known AS (
+  SELECT 'gpu_temp_c' AS feature_name, min(t)::DOUBLE AS lo, max(t)::DOUBLE AS hi FROM train
+  UNION ALL SELECT 'power_w', min(p)::DOUBLE, max(p)::DOUBLE FROM train
+  UNION ALL SELECT 'mem_util_pct', min(e * 23 % 59) / 2, max(e * 23 % 59) / 2 FROM train
+  UNION ALL SELECT 'vram_temp_c', 20 + min(e * 7 % 43) / 2, 20 + max(e * 7 % 43) / 2 FROM train
+  UNION ALL SELECT 'sm_clock_mhz', 900 + min(e * 13 % 37), 900 + max(e * 13 % 37) FROM train
+  UNION ALL SELECT 'mem_clock_mhz', 400 + min(e * 11 % 17), 400 + max(e * 11 % 17) FROM train
+  UNION ALL SELECT 'fan_speed_pct', min(e * 19 % 83), max(e * 19 % 83) FROM train
+  UNION ALL SELECT 'vddcr_gfx_v', 0.5::DOUBLE + min(e * 17 % 29) / 64, 0.5::DOUBLE + max(e * 17 % 29) / 64 FROM train)
+SELECT feature_name, CASE WHEN delta THEN 'delta' ELSE 'rate' END AS encoder_type, lo AS min, hi AS max,
+  CASE WHEN delta THEN 1.0::DOUBLE END AS threshold
+FROM (VALUES {", ".join(f"('{name}', {delta})" for name, delta in ENCODED)}) AS f(feature_name, delta)
+LEFT JOIN known USING (feature_name)""",
 }
