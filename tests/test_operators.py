@@ -412,3 +412,45 @@ def test_one_window_gives_the_joined_trajectory(spark):
     assert text(whole) == text(joined)
     plan = whole._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_large_strata_are_cut_without_ranking(spark, monkeypatch, ties):
+    """One stratum of 90 %, sparse and negative positions, nulls; every size against a plain sort."""
+    monkeypatch.setattr(sampling, "POSITION_RANGES", 16)
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
+    rows = [((i * 7919) % 100_003 - 40_000 if not ties else i % 37, None if i % 50 == 7 else "hot" if i % 10 else f"s{i % 3}") for i in range(3_000)]
+    rows += [(None, "hot"), (None, "s1"), (None, None)]
+    df = spark.createDataFrame(rows, "k bigint, kind string").repartition(5)
+    strata = {kind: sorted((r[0] is None, r[0] or 0) for r in rows if r[1] == kind) for kind in {r[1] for r in rows}}
+    for n in (1, 7, 1_000, 10_000):
+        out = sampling.stratified_sample(df, "kind", n, "k", strata_order=["s2"], take_last=["hot"])
+        got = {}
+        for r in out.collect():
+            got.setdefault(r.kind, []).append((r.k is None, r.k or 0))
+        for kind, own in strata.items():
+            known = [x for x in own if not x[0]]
+            nulls = [x for x in own if x[0]]
+            want = ((known[::-1] if kind == "hot" else known) + nulls)[:n]
+            assert sorted(got[kind]) == sorted(want), (n, kind)
+
+
+def test_no_rows_are_ordered_at_any_size(spark):
+    df = spark.range(300_000).select("id", F.when(F.col("id") % 10 == 0, "few").otherwise("most").alias("kind"))
+    out = sampling.stratified_sample(df, "kind", 100_000, "id", strata_order=["few", "most"])
+    assert {r.kind: r["count"] for r in out.groupBy("kind").count().collect()} == {"few": 30_000, "most": 100_000}
+    assert out.agg(F.max("id")).first()[0] == 299_990
+    # The one window of the plan orders histogram rows: it stands above the counts.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    for line, below in zip(plan.splitlines(), plan.splitlines()[1:], strict=False):
+        if "Window [" in line:
+            assert "Aggregate" in below or "Window" in below or "Project" in below
+
+
+def test_null_and_equal_order_values_are_drawn(spark):
+    rows = [(i if i % 9 else None, str(i)) for i in range(90)] + [(5, "again")] * 4
+    df = spark.createDataFrame(rows, "k bigint, v string")
+    assert sampling.seeded_sample(df, 1_000, "k").count() == 94
+    for n in (1, 20, 50, 93):
+        assert sampling.seeded_sample(df, n, "k").count() == n
+    assert sampling.seeded_sample(df.filter("false"), 5, "k").count() == 0
