@@ -28,9 +28,14 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
 
 
 def count_of(levels: np.ndarray) -> np.ndarray:
-    """The middle of the counts that have a level; 0 for level 0."""
-    powers = np.power(BASE, levels.astype(np.float64))
-    return np.where(levels > 0, (powers / BASE + powers - 1) / 2, 0.0)
+    """The mean of the whole counts that have a level if counts are even in logarithms; 0 for level 0.
+
+    Up to level 3 a level has one count. Counts of n-grams are at least as skewed, so plain middles would be too large.
+    """
+    powers = np.power(BASE, np.maximum(levels, 1).astype(np.float64))
+    low, high = np.ceil(powers / BASE - 1e-9), np.ceil(powers - 1e-9) - 1
+    mean = (high - low + 1) / np.log((high + 0.5) / (low - 0.5))
+    return np.where(levels > 0, np.where(low == high, low, mean), 0.0)
 
 
 def slice_of(grams: np.ndarray, n_slices: int) -> np.ndarray:
@@ -47,10 +52,10 @@ def _places(grams: np.ndarray, level: int, bits: np.ndarray | int):
         yield ((((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * bits) >> _SHIFT).astype(np.int64)
 
 
-def build(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def build(grams: np.ndarray, counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
     """The packed bits of one slice: a multiple of 64, at least 64."""
     levels = levels_of(counts)
-    bits = max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 64) * 64)
+    bits = max(64, -(-int(levels.sum()) * bits_per_entry // 64) * 64)
     flags = np.zeros(bits, dtype=bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         own = grams[levels >= level]

@@ -8,8 +8,10 @@ Slices are broadcast as far as BROADCAST_BYTES allow. If the model is larger, do
 broadcasts some slices and fills in what the words and pairs of these slices have, in tables written in between; the last
 step computes the scores. For the same slices the scores are the same, whatever the rounds.
 
-p(w | v) = a c(v w) / c(v) + (1 - a) (c(w) + 0.1) / (N + 0.1 (V + 1)) with a = c(v) / (c(v) + CONTEXT), where c are the
-quantised counts; at the start of a text v is the end token.
+p(w | v) = a q(v w) / c(v) + (1 - a) (c(w) + 0.1) / (N + 0.1 (V + 1)) with a = c(v) / (c(v) + CONTEXT). q is the quantised
+count of the pair, read by repeated membership probes, and at most the count of either word; c are the counts of words,
+which the base score needs exactly. Pairs of a context add up to its count, so p(. | v) is a distribution as far as the
+levels' middles are right and no probe hits by chance. At the start of a text v is the end token.
 """
 
 from __future__ import annotations
@@ -75,7 +77,7 @@ def _word_grams(tokens: np.ndarray) -> np.ndarray:
     return mix64(tokens ^ _PAIR)
 
 
-def model_slices(docs: DataFrame, work, n_slices: int) -> DataFrame:
+def model_slices(docs: DataFrame, work, n_slices: int, bits_per_entry: int = logbloom.BITS_PER_ENTRY) -> DataFrame:
     """``slice, n_tokens, n_words, filter, words, counts, large``: one row per slice of the counted documents.
 
     ``counts`` has a byte per word; a word with LARGE there has its count in ``large``.
@@ -124,8 +126,7 @@ def model_slices(docs: DataFrame, work, n_slices: int) -> DataFrame:
                 all_counts = np.frombuffer(b"".join(counts), "<u4").astype(np.int64)
                 unique, inverse = np.unique(all_keys, return_inverse=True)
                 sums[order] = unique, np.bincount(inverse, weights=all_counts, minlength=len(unique)).astype(np.int64)
-            grams = np.concatenate([sums[1][0], sums[2][0]])
-            packed = logbloom.build(grams, np.concatenate([sums[1][1], sums[2][1]]))
+            packed = logbloom.build(*sums[2], bits_per_entry)
             values = (
                 rows.column("slice")[0].as_py(),
                 int(sums[1][1].sum()),
@@ -177,37 +178,40 @@ class Part:
         out[many] = self.large[np.searchsorted(self.large_at, at[many])]
         return out
 
-    def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Exact counts, word levels and pair levels of all tokens; 0 for what other slices have."""
+    def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of all tokens and levels of their pairs; 0 for what other slices have."""
         distinct, inverse = np.unique(_word_grams(tokens), return_inverse=True)
-        exact, levels = self.exact(distinct), self.filter.levels(distinct)
-        return exact[inverse], levels[inverse], self.filter.levels(pair_hashes(tokens))
+        return self.exact(distinct)[inverse], self.filter.levels(pair_hashes(tokens))
 
 
 def _scores(
-    tokens: np.ndarray, sizes: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, v: int, end_level: int
+    tokens: np.ndarray, sizes: np.ndarray, found: tuple[np.ndarray, np.ndarray], n: int, v: int, end_count: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Known tokens, base score and model score of each text."""
-    exact, words, pairs = found
+    counts, pairs = found
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     below = n + SMOOTHING * (v + 1)
-    base = np.log10((exact + SMOOTHING) / below)
-    counts = logbloom.count_of(words)
-    before = np.concatenate([[0.0], counts[:-1]])
-    before[first] = logbloom.count_of(np.array([end_level]))[0]
-    seen = np.minimum(logbloom.count_of(pairs), before)
+    share = (counts + SMOOTHING) / below
+    before = np.concatenate([[0], counts[:-1]]).astype(np.float64)
+    before[first] = end_count
+    seen = np.minimum(logbloom.count_of(pairs), np.minimum(before, counts))
     trust = before / (before + CONTEXT)
     ratio = np.divide(seen, before, out=np.zeros_like(before), where=before > 0)
-    model = np.log10(trust * ratio + (1 - trust) * (counts + SMOOTHING) / below)
+    model = np.log10(trust * ratio + (1 - trust) * share)
     add = np.add.reduceat
-    return add((exact > 0).astype(np.int64), first), add(base, first), add(model, first)
+    return add((counts > 0).astype(np.int64), first), add(np.log10(share), first), add(model, first)
 
 
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-_FOUND = "_exact binary, _words binary, _pairs binary"
+_FOUND = "_exact binary, _pairs binary"
 
 
-def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_slice: int = TOKENS_PER_SLICE) -> DataFrame:
+def scored(
+    docs: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    tokens_per_slice: int = TOKENS_PER_SLICE,
+    bits_per_entry: int = logbloom.BITS_PER_ENTRY,
+) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     A null text is empty: its one token is the end token. A row without an id is held out or counted like id ''. Equal
@@ -218,7 +222,7 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_slices = max(1, -(-(size // 6) // tokens_per_slice))
-    model = model_slices(rows, work, n_slices)
+    model = model_slices(rows, work, n_slices, bits_per_entry)
     bytes_of = sum((F.octet_length(c) for c in ("filter", "words", "counts", "large")), F.lit(0))
     sizes = model.select("slice", "n_tokens", "n_words", bytes_of.alias("size")).collect()  # a few numbers per slice
     sizes.sort(key=lambda r: r["slice"])
@@ -240,7 +244,7 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
 
     end = _word_grams(np.array([_END]))
 
-    def fill(shared, last: bool, first: bool, end_level: int):
+    def fill(shared, last: bool, first: bool, end_count: int):
         def run(batches):
             hashes = word_hasher(REMEMBERED)
             here = shared.value
@@ -248,12 +252,12 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
                 tokens, sizes = token_hashes(texts_of(piece), hashes)
                 found = here.look_up(tokens)
                 if not first:
-                    kinds = zip(("_exact", "_words", "_pairs"), ("<i8", np.uint8, np.uint8), found, strict=True)
+                    kinds = zip(("_exact", "_pairs"), ("<i8", np.uint8), found, strict=True)
                     found = tuple(
                         np.maximum(np.frombuffer(b"".join(column_of(piece, c).to_pylist()), t), x) for c, t, x in kinds
                     )
                 if last:
-                    known, base, score = _scores(tokens, sizes, found, n, v, end_level)
+                    known, base, score = _scores(tokens, sizes, found, n, v, end_count)
                     more = [pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), n, np.int64)), pa.array(base)]
                     names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
                     more.append(pa.array(score))
@@ -261,20 +265,20 @@ def scored(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, tokens_per_s
                 else:
                     cuts = np.cumsum(sizes)[:-1]
                     more = [pa.array([x.tobytes() for x in np.split(f, cuts)], pa.binary()) for f in found]
-                    names, kept = ["_exact", "_words", "_pairs"], ["doc_id", "held_out", "text"]
+                    names, kept = ["_exact", "_pairs"], ["doc_id", "held_out", "text"]
                 yield pa.RecordBatch.from_arrays([*(column_of(piece, k) for k in kept), *more], names=[*kept, *names])
 
         return run
 
     table = rows.select("doc_id", held_out().alias("held_out"), "text")
-    end_level = 0
+    end_count = 0
     for i, slices in enumerate(rounds):
         own = part(slices)
-        end_level = max(end_level, int(own.filter.levels(end)[0]))
+        end_count = max(end_count, int(own.exact(end)[0]))
         shared = spark.sparkContext.broadcast(own)
         del own
         last = i == len(rounds) - 1
-        run = fill(shared, last, i == 0, end_level)
+        run = fill(shared, last, i == 0, end_count)
         if last:
             return table.mapInArrow(run, _RESULT)
         table = work.stage(table.mapInArrow(run, f"doc_id long, held_out boolean, text string, {_FOUND}"), "found")
