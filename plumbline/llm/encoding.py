@@ -137,9 +137,10 @@ class PieceEncoder:
     def counts(self, texts: list[bytes]) -> list[int]:
         return [len(x) // self.dtype.itemsize for x in self.ids(texts)]
 
-    def forget(self) -> None:
-        """Give the memory of what is remembered back."""
-        self.pieces, self.stems, self.marks = Generations(), Generations(), {}
+    def rest(self) -> None:
+        """At the end of a task: keep what was met last for the next one, and give the memory of the others back."""
+        self.pieces.trim(0)
+        self.stems.trim(0)
 
 
 _loaded: dict[str, PieceEncoder] = {}

@@ -28,7 +28,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, groups: list[str]) -> DataF
                 n = np.array(tokens.counts(texts_of(piece)), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n)], names=[*groups, "n_tokens"])
         finally:
-            tokens.forget()
+            tokens.rest()
             give_back()
 
     return wanted.mapInArrow(count, schema)

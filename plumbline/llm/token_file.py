@@ -67,7 +67,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*last, pa.array([total.astype("<i8").tobytes()])], names=names)
         finally:
-            tokens.forget()
+            tokens.rest()
             give_back()
 
     names = ["doc_id", "n_tokens", "width", "ids", "counts"]
