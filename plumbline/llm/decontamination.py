@@ -26,6 +26,8 @@ WORDS_PER_AUTOMATON = 200_000
 #: Hit spans of at least so many words are cut out; shorter ones too where hits cover more than this share of a text.
 SPAN_LIMIT = 10
 COVERAGE_LIMIT = 0.2
+#: The least words of a whole item that are cut out of a text, if the item has fewer than a window.
+SHORT_ITEM = 5
 
 #: ASCII characters that are no part of a word become blanks, A-Z become a-z.
 _FOLD = bytes(
@@ -34,6 +36,9 @@ _FOLD = bytes(
 _WORD = re.compile(rb"[^\x20]+")
 
 
+_NO_ID = "-"
+
+
 def folded_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
@@ -55,12 +60,12 @@ def find_hits(words: list[bytes], automaton: ItemAutomaton) -> tuple[list[tuple[
 
 
 def _automata(benchmark: DataFrame, width: int, limit: int) -> list:
-    """Broadcast automata of at most about ``limit`` words; items with a null id or without words have no windows."""
+    """Broadcast automata of at most about ``limit`` words; items without words have no windows."""
     spark = benchmark.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).filter("item_id is not null")
+    )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # A word and the character after it are two bytes at least; real text has about six.
     parts = max(1, -(-size // (6 * limit)))
@@ -70,11 +75,17 @@ def _automata(benchmark: DataFrame, width: int, limit: int) -> list:
         known: dict[str, list[bytes]] = {}
         for row in own.toLocalIterator():
             # Rows with the same id are items of their own that share it.
-            known[f"{row['item_id']}\0{len(known)}"] = folded_words(row["text"].encode())
+            name = _NO_ID if row["item_id"] is None else f"={row['item_id']}"
+            known[f"{name}\0{len(known)}"] = folded_words(row["text"].encode())
         shared.append(spark.sparkContext.broadcast(ItemAutomaton(known, width)))
     return shared
 
 
+def _item_id(name: str) -> str | None:
+    known = name.rpartition("\0")[0]
+    return None if known == _NO_ID else known[1:]
+
+
 _FOUND = "_spans array<struct<a:int,b:int>>, _items array<string>, _n_words int"
 
 
@@ -99,7 +110,7 @@ def _matched(wanted: DataFrame, benchmark: DataFrame, width: int, limit: int) ->
                     if found:
                         spans[i] = merged_spans([(s["a"], s["b"]) for s in spans[i]] + found)
                         spans[i] = [{"a": a, "b": b} for a, b in spans[i]]
-                        items[i] = sorted({*items[i], *(x.rpartition("\0")[0] for x in names)})
+                        items[i] = sorted({*items[i], *map(_item_id, names)}, key=lambda x: (x is None, x or ""))
                 added = [pa.array(spans, pa.list_(span)), pa.array(items, pa.list_(pa.string())), pa.array(sizes, pa.int32())]
                 names = [*given, "_spans", "_items", "_n_words"]
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(given)], *added], names=names)
@@ -116,7 +127,9 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, words_per_automaton: int = WORDS_PER_AUTOMATON
 ) -> DataFrame:
     """Hits of every row: ``doc_id, n_words, n_hit, n_items, items`` (sorted as strings), ``spans`` (of word numbers),
-    ``coverage`` and ``contaminated``. A null text has no words; equal rows get equal results."""
+    ``coverage`` and ``contaminated``. A null text has no words, of an item as of a document; texts may have any length. Items
+    without an id are hit like others and count as one item, which is null and stands last in ``items``. Equal rows get equal
+    results; an empty table gives an empty result, an empty benchmark hits nothing; other columns are ignored."""
     wanted = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     found = _matched(wanted, benchmark, width, words_per_automaton)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + (s["b"] - s["a"]))
@@ -152,38 +165,44 @@ def decontaminated(
 ) -> DataFrame:
     """``docs`` with its columns, hit spans cut out of ``text`` where they are too long or cover too much of it.
 
+    Too long are ``span_limit`` words, and SHORT_ITEM words of an item that has no more than a window: such spans are whole items.
     A row of which no word is left is dropped; every other row stays, and texts without such spans are unchanged.
-    ``n_chars``, if there is one, is that of the new text where it was cut. The automata see the text once more after a cut, since the
-    words around it may meet in a window.
+    ``n_chars``, if there is one, is that of the new text where it was cut. A text that was cut is searched again, since the words
+    around a cut may meet in a window, until there is nothing left to cut. A null text stays; ids and other columns do not
+    matter; empty tables give empty results.
     """
     n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     out = row_and(docs, F.col("text").cast("string").alias("text"), n_chars.alias("_n_chars"), without=("text",))
-    for _ in range(2):
-        found = _matched(out, benchmark, width, words_per_automaton)
-        out = _cut(found, out.schema, span_limit, coverage_limit)
-    fresh = {"text": F.col("text"), "n_chars": F.col("_n_chars")}
-    columns = [fresh.get(f.name, F.col("_row").getField(f.name)).cast(f.dataType).alias(f.name) for f in docs.schema]
-    return out.select(*columns)
-
+    shared = _automata(benchmark, width, words_per_automaton)
+
+    def clean(text: str) -> str | None:
+        """The text that is left, the same one if nothing is cut, none if no word is."""
+        while True:
+            words = folded_words(text.encode())
+            spans = merged_spans(sorted(s for a in shared for s in find_hits(words, a.value)[0]))
+            if sum(b - a for a, b in spans) <= coverage_limit * len(words):
+                spans = [(a, b) for a, b in spans if b - a >= (span_limit if b - a >= width else min(span_limit, SHORT_ITEM))]
+            if not spans:
+                return text
+            if sum(b - a for a, b in spans) == len(words):
+                return None
+            text = cut_text(text.encode(), spans).decode()
 
-def _cut(found: DataFrame, schema, span_limit: int, coverage_limit: float) -> DataFrame:
     def cut(batches):
         for piece in pieces(batches):
             texts = column_of(piece, "text").to_pylist()
-            sizes = column_of(piece, "_n_words").to_pylist()
             n_chars = column_of(piece, "_n_chars").to_pylist()
             stay = []
-            for i, spans in enumerate(column_of(piece, "_spans").to_pylist()):
-                pairs = [(s["a"], s["b"]) for s in spans]
-                hit = sum(b - a for a, b in pairs)
-                if hit <= coverage_limit * sizes[i]:
-                    pairs = [(a, b) for a, b in pairs if b - a >= span_limit]
-                stay.append(not pairs or sum(b - a for a, b in pairs) < sizes[i])
-                if pairs:
-                    texts[i] = cut_text(texts[i].encode(), pairs).decode()
-                    n_chars[i] = len(texts[i])
+            for i, text in enumerate(texts):
+                left = clean(text) if text else text
+                stay.append(left is not None or text is None)
+                if left != text:
+                    texts[i], n_chars[i] = left, len(left or "")
             arrays = [column_of(piece, "_row"), pa.array(texts, pa.string()), pa.array(n_chars, pa.int64())]
-            batch = pa.RecordBatch.from_arrays(arrays, names=["_row", "text", "_n_chars"])
-            yield batch.filter(pa.array(stay))
+            yield pa.RecordBatch.from_arrays(arrays, names=["_row", "text", "_n_chars"]).filter(pa.array(stay))
+
+    out = out.mapInArrow(cut, out.schema)
+    fresh = {"text": F.col("text"), "n_chars": F.col("_n_chars")}
+    columns = [fresh.get(f.name, F.col("_row").getField(f.name)).cast(f.dataType).alias(f.name) for f in docs.schema]
+    return out.select(*columns)
 
-    return found.mapInArrow(cut, schema)

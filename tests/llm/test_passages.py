@@ -68,6 +68,32 @@ def test_passages_are_cut_and_others_stay(make_docs, bench_items, edge_docs, no_
     assert decontaminated(no_docs, bench_items(ITEMS)).count() == 0
 
 
+def test_items_without_an_id_and_short_items(make_docs, bench_items, spark):
+    """An item without an id is an item; whole short items are cut; cuts go on until none is left."""
+    twelve = "this passage of twelve words belongs to an item without any id"
+    short = "what is the capital of france"
+    nested = "one two three four five six seven eight nine ten"
+    # Inside each cut another passage has been hidden, five times over.
+    hidden = nested
+    for _ in range(5):
+        hidden = f"{' '.join(nested.split()[:5])} {hidden} {' '.join(nested.split()[5:])}"
+    items = bench_items([(None, twelve), (None, None), (7, short), (8, nested), (None, short + " please tell me")])
+    texts = [f"it says {twelve} here", f"Tell me: What is the capital of France? " + "other words " * 20, f"a {hidden} b", "clean", None, ""]
+    docs = make_docs(texts)
+    found = {r.doc_id: r for r in contamination(docs, items).collect()}
+    assert (found[0].n_hit, found[0].n_items, found[0]["items"]) == (12, 1, [None])
+    assert (found[1].n_hit, found[1]["items"]) == (6, ["7"])
+    assert not found[3].contaminated and not found[4].contaminated
+    left = {r.doc_id: r.text for r in decontaminated(docs, items).collect()}
+    assert left.keys() == set(range(6))
+    assert "passage" not in left[0] and "capital" not in left[1] and "other words" in left[1]
+    assert left[2].split() == ["a", "b"] and (left[3], left[4], left[5]) == ("clean", None, "")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert {r.doc_id: r.text for r in decontaminated(docs, none).collect()} == dict(enumerate(texts))
+    assert contamination(docs, none).filter("contaminated").isEmpty()
+    assert decontaminated(docs.filter("false"), items).isEmpty()
+
+
 def brute_repeats(rows, width):
     first = {}
     texts = [(d, (t or "").encode().split()) for d, t, *_ in rows]
