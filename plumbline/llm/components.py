@@ -1,36 +1,38 @@
-"""Connected components of an edge table, by joins and minima."""
+"""Connected components of an edge table, by contraction: joins and minima."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 
+def _undirected(edges: DataFrame) -> DataFrame:
+    """Each edge once, the smaller end first; no loops."""
+    return edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def connected_components(edges: DataFrame, work) -> DataFrame:
     """``node, root`` for every node of ``edges`` (columns ``a, b``): the smallest node of its component.
 
-    Each round replaces a node's parent by the smallest grandparent among itself and its neighbours, and does the same
-    for the parent itself, so trees merge and halve in depth: the rounds grow with the logarithm of the diameter. A
-    round's parents are written out. Nothing is gathered per node, so a node with very many neighbours costs partial minima
-    and join rows that Spark may split.
+    Each round gives every node the name of the first one among itself and its neighbours, in an order that is drawn anew for
+    each round, and edges run between names from then on; those inside a name go. A round leaves a share of the names, however
+    they are linked, so the rounds grow with the logarithm of the largest component. A round's tables are written out. Nothing is gathered
+    per node, so a node with very many neighbours costs partial minima and join rows that Spark may split.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = work.stage(both.filter("a != b").distinct(), "edges")
-    parents = work.stage(both.groupBy("a").agg(F.min("b").alias("_m")).select(
-        F.col("a").alias("node"), F.least("a", "_m").alias("root")), "parents")
-    last = None
-    while True:
-        above = parents.select(F.col("node").alias("root"), F.col("root").alias("grand"))
-        grand = work.stage(parents.join(above, "root").select("node", "root", "grand"), "grand")
-        seen = grand.agg(F.sum(F.col("grand").cast("decimal(38,0)")), F.sum(F.col("root").cast("decimal(38,0)"))).first()
-        if seen[0] == seen[1] and last == seen[0]:
-            return parents
-        last = seen[0]
-        far = both.join(grand.select(F.col("node").alias("b"), F.col("grand")), "b").select("a", "grand")
-        near = far.groupBy("a").agg(F.min("grand").alias("grand"))
-        hooked = near.join(parents.select(F.col("node").alias("a"), "root"), "a")
-        options = (
-            grand.select("node", "grand")
-            .union(near.select("a", "grand"))
-            .union(hooked.select("root", "grand"))
+    edges = work.stage(_undirected(edges.select("a", "b")), "edges")
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    names = work.stage(nodes.select("node", F.col("node").alias("root")), "names")
+    rounds = 0
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        drawn = lambda c: F.struct(F.xxhash64(c, F.lit(rounds)).alias("order"), F.col(c).alias("to"))  # noqa: B023, E731
+        least = both.groupBy("a").agg(F.min(drawn("b")).alias("_first"))
+        least = work.stage(least.select(F.col("a").alias("root"), F.least(drawn("a"), "_first")["to"].alias("to")), "least")
+        rounds += 1
+        ends = {end: least.select(F.col("root").alias(end), F.col("to").alias(f"_{end}")) for end in ("a", "b")}
+        renamed = edges.join(ends["a"], "a").join(ends["b"], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        edges = work.stage(_undirected(renamed), "edges")
+        names = work.stage(
+            names.join(least, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "names"
         )
-        parents = work.stage(options.groupBy("node").agg(F.min("grand").alias("root")), "parents")
+    smallest = names.groupBy("root").agg(F.min("node").alias("_least"))
+    return work.stage(names.join(smallest, "root").select("node", F.col("_least").alias("root")), "components")
