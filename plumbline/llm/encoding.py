@@ -98,12 +98,12 @@ class PieceEncoder:
             return "".join([self.letters[b] for b in text.lower().encode()]).encode()
         return None
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         """Remember the ids of the words that are new. Marks after letters are a pre-token of their own."""
         pieces, older_pieces = self.pieces.young, self.pieces.older
         stems, older_stems = self.stems.young, self.stems.older
         merge, code, marks = self.tokenizer.model.tokenize, "H" if self.dtype.itemsize == 2 else "I", self.marks
-        for word in set(words).difference(pieces):
+        for word in words.difference(pieces):
             ids = older_pieces.get(word)
             if ids is None:
                 letters = word.rstrip(_MARKS)
@@ -130,7 +130,7 @@ class PieceEncoder:
         self.pieces.trim(self.limit)
         self.stems.trim(self.limit)
         split = [text.split() for text in texts]
-        self._learn([w for words in split for w in words])
+        self._learn(set().union(*split))
         known = self.pieces.young.__getitem__
         return [b"".join(map(known, words)) for words in split]
 

@@ -70,10 +70,14 @@ class Block:
 
 def encode(blocks: list[np.ndarray], table: Table, lanes: int = LANES) -> list[Block]:
     """Each array of ids as a block; the blocks are coded side by side."""
-    index = [np.searchsorted(table.symbols, b) for b in blocks]
-    for b, i in zip(blocks, index, strict=True):
-        if len(b) and (i.max() >= len(table.symbols) or not np.array_equal(table.symbols[i], b)):
+    places = np.full(int(table.symbols[-1]) + 1 if len(table.symbols) else 0, len(table.symbols), dtype=np.uint32)
+    places[table.symbols] = np.arange(len(table.symbols), dtype=np.uint32)
+    index = []
+    for b in blocks:
+        i = places[b] if len(b) and b.min() >= 0 and b.max() < len(places) else np.full(len(b), len(table.symbols), dtype=np.uint32)
+        if len(b) and i.max() >= len(table.symbols):
             raise ValueError("a token id is missing from the frequency table")
+        index.append(i)
     steps = [-(-len(b) // lanes) for b in blocks]
     most, n = max(steps, default=0), len(blocks)
     # One symbol more, with the whole range as its frequency, changes no state: it fills the lanes without a token.

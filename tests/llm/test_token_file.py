@@ -160,3 +160,21 @@ def test_histogram_answers_every_limit(edge_docs, edge_rows, no_docs):
         lengths = sorted(groups[r.lang, r.source])
         assert r.n_tokens == lengths[int(np.ceil(r.share * len(lengths))) - 1]
     assert length_histogram(no_docs, tokenizer_path()).count() == 0
+
+
+def test_ids_are_looked_up_in_the_frequency_table(monkeypatch):
+    """op1: a place per id instead of a search of the table for each token; ids outside it are refused as before."""
+    import numpy as np
+    import pytest
+    from plumbline.llm import rans
+
+    def searched(*_):
+        raise AssertionError("searched")
+
+    monkeypatch.setattr(np, "searchsorted", searched)
+    table = rans.Table.of_counts(np.array([7, 3, 900]), np.array([5, 1, 2]))
+    blocks = [np.array([3, 900, 7, 7], np.uint16), np.zeros(0, np.uint16)]
+    assert [x.tolist() for x in rans.decode(rans.encode(blocks, table), table)] == [[3, 900, 7, 7], []]
+    for bad in (4, 901, -1):
+        with pytest.raises(ValueError):
+            rans.encode([np.array([3, bad])], table)
