@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.llm.common import give_back, pieces, texts_of
+from plumbline.llm.common import column_of, give_back, pieces
 from plumbline.llm.encoding import encoder
 
 
@@ -25,7 +25,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, groups: list[str]) -> DataF
         tokens = encoder(tokenizer)
         try:
             for piece in pieces(batches):
-                n = np.array(tokens.counts(texts_of(piece)), dtype=np.int64)
+                n = tokens.counts_of(column_of(piece, "text"))
                 yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(n)], names=[*groups, "n_tokens"])
         finally:
             tokens.rest()

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from plumbline.llm import rans
-from plumbline.llm.common import column_of, give_back, pieces, scratch, texts_of
+from plumbline.llm.common import column_of, give_back, packed, pieces, scratch
 from plumbline.llm.encoding import encoder
 from plumbline.sources import storage
 
@@ -50,18 +50,17 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def encode(batches):
         tokens = encoder(tokenizer)
-        end = np.asarray([end_id], dtype=tokens.dtype).tobytes()
         total = np.zeros(0, dtype=np.int64)
         try:
             for piece in pieces(batches):
-                ids = [x + end for x in tokens.ids(texts_of(piece))]
-                found = np.bincount(np.frombuffer(b"".join(ids), tokens.dtype))
+                ids, n = tokens.ids_of(column_of(piece, "text"))
+                ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+                found = np.bincount(ids)
                 if len(found) > len(total):
                     found, total = total, found
                 total[: len(found)] += found
-                n = pa.array([len(x) // tokens.dtype.itemsize for x in ids], pa.int64())
-                width = pa.array([tokens.dtype.itemsize] * len(ids), pa.int32())
-                arrays = [column_of(piece, "doc_id"), n, width, pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())]
+                width = pa.array(np.full(len(n), tokens.dtype.itemsize, np.int32))
+                arrays = [column_of(piece, "doc_id"), pa.array(n), width, packed(ids, n), pa.nulls(len(n), pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
             if len(total):
                 last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())]

@@ -178,3 +178,31 @@ def test_ids_are_looked_up_in_the_frequency_table(monkeypatch):
     for bad in (4, 901, -1):
         with pytest.raises(ValueError):
             rans.encode([np.array([3, bad])], table)
+
+
+def test_python_meets_a_stem_once_and_its_occurrences_never(monkeypatch):
+    """op1, op4: texts are cut and their pieces numbered by Arrow; the ids stay those of whole texts."""
+    import random
+
+    import pyarrow as pa
+    from plumbline.llm.encoding import PieceEncoder
+
+    tokens = PieceEncoder(tokenizer_path(), limit=50)
+    # Every letter below U+0180 and some beyond, alone and inside words, before marks, in both cases, between all kinds of space.
+    letters = [chr(c) for c in [*range(33, 0x180), 0x301, 0x345, 0x3A3, 0x1E9E, 0x212A, 0xFB01, 0x3000, 0x2028]]
+    rng = random.Random(3)
+    texts = [" ".join(x + y for x in letters for y in ("", "a", "?!", "\u0301"))]
+    texts += ["".join(rng.choices([*letters, *" \t\n\x0b\x0c\r\x1f\xa0'sTd"], k=300)) for _ in range(60)]
+    column = pa.array([None, "skipped", *TRICKY, None, "", *texts, "\n", None]).slice(2)
+    column = pa.concat_arrays([pa.array(["x"]), column]).slice(1)
+    ids, sizes = tokens.ids_of(column)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(t) for t in column.to_pylist()]
+    assert tokens.counts_of(column).tolist() == sizes.tolist()
+    assert [len(x) for x in tokens.ids_of(pa.array([], pa.string()))] == [0, 0] and tokens.ids([]) == []
+
+    tokens, met = PieceEncoder(tokenizer_path()), []
+    monkeypatch.setattr(tokens, "_merged", lambda stem, merged=tokens._merged: met.append(stem) or merged(stem))
+    many = pa.array(["Stem, STEM. stem\u00e9 STEM\u00c9; stem 12"] * 500)
+    ids, sizes = tokens.ids_of(many)
+    assert sorted(met) == [b"stem", "stem\u00e9".encode()]
+    assert np.array_equal(ids, np.tile(whole(many[0].as_py()), 500)) and len(set(sizes.tolist())) == 1
