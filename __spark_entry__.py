@@ -820,11 +820,13 @@ def stored_trajectories(spark, sf_dir):
 
 
 def stored_encoders(spark, sf_dir):
-    """The encoder rows of a build, read back."""
-    root, _ = built_tree(spark, sf_dir, Workspace(spark))
-    return read_table(spark, root, "encoding_params", "train").select(
-        "feature_name", "encoder_type", *[F.col(c).cast("double").alias(c) for c in ("min", "max", "threshold")]
-    )
+    """The encoder rows of a build, read back: one for each feature, so that nothing of the tree need be kept for them."""
+    with Workspace(spark) as workspace:
+        root, _ = built_tree(spark, sf_dir, workspace)
+        encoders = read_table(spark, root, "encoding_params", "train").select(
+            "feature_name", "encoder_type", *[F.col(c).cast("double").alias(c) for c in ("min", "max", "threshold")]
+        )
+        return spark.createDataFrame(encoders.collect(), encoders.schema)
 
 
 def trajectory_build(spark, sf_dir):
